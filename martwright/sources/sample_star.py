@@ -230,7 +230,7 @@ class SampleStar:
     def dim_store(self) -> DataFrame:
         lines = self.raw("lineitem").groupBy(F.col("l_suppkey").alias("shop_id")).agg(
             F.count(F.lit(1)).alias("total_order_count"),
-            F.count_if((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09) & (F.col("l_tax") >= 0.04)).alias(
+            F.count_if((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09) & (F.col("l_tax") >= 0.03)).alias(
                 "total_disputed_orders"
             ),
         )
@@ -248,12 +248,12 @@ class SampleStar:
 
     @cached_property
     def dim_gateway_a_transaction(self) -> DataFrame:
-        text = F.when(F.col("l_tax") >= 0.05, "deliver in person").when(F.col("l_tax") >= 0.02, " Collect COD")
+        text = F.when(F.col("l_tax") >= 0.08, "deliver in person").when(F.col("l_tax") >= 0.02, " Collect COD")
         return self._line_texts(F.col("l_returnflag") == "A", text, "response_reason")
 
     @cached_property
     def dim_gateway_b_transaction(self) -> DataFrame:
-        text = F.when(F.col("l_tax") >= 0.07, "NOT RETURNED").when(F.col("l_tax") >= 0.03, " Return Requested").otherwise(
+        text = F.when(F.col("l_tax") >= 0.08, "NOT RETURNED").when(F.col("l_tax") >= 0.03, " Return Requested").otherwise(
             "unmapped"
         )
         return self._line_texts(F.col("l_returnflag") == "R", text, "response_reason")

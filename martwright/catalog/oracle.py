@@ -93,7 +93,7 @@ SELECT *, CASE WHEN dispute_rate > 0.035 OR high_attempt_orders >= 5 THEN 'Hold
     "x_lines": f"""
 SELECT l_orderkey AS order_id, min(l_suppkey) AS shop_id, CAST(sum(l_quantity) AS BIGINT) AS total_quantity,
   count(*) AS lines, max(l_discount + l_tax) AS base_cost_margin, max(floor(l_extendedprice)) AS top_price,
-  max({_cents('l_extendedprice', 8)}) AS top_line_cents, max(l_shipdate) AS last_ship, min(l_partkey) AS first_part,
+  max({_cents('l_extendedprice', 8)}) AS top_line_cents, max(l_shipdate) AS last_ship,
   max(CASE l_returnflag WHEN 'R' THEN 1 ELSE 0 END) AS has_return
 FROM lineitem GROUP BY l_orderkey""",
     "x_order": _dim_order(400),
@@ -228,7 +228,8 @@ SELECT merchant_id, CAST(sum(requested) + max(requested) * 12 AS DECIMAL(18,2))
 FROM x_request WHERE status = 'F' GROUP BY merchant_id""",
     "x_parcel": """
 SELECT o_orderkey AS order_id, shop_id, o_custkey AS customer_id, CASE WHEN o_orderpriority <> '5-LOW'
-  THEN 'T' || first_part || '-' || strftime(last_ship, '%Y%m') END AS tracking_number, o_orderdate, o_orderstatus,
+  THEN 'T' || CAST(floor(o_totalprice / 1000) AS INTEGER) || '-' || strftime(o_orderdate, '%Y%m') END AS tracking_number,
+  o_orderdate, o_orderstatus,
   o_totalprice, has_return, lines FROM orders LEFT JOIN x_lines ON order_id = o_orderkey""",
     "x_parcel_shared": """
 SELECT p.*, CASE WHEN tracking_number IS NOT NULL THEN CAST(n AS INTEGER) END AS sharing FROM x_parcel p
@@ -570,7 +571,7 @@ SELECT page_no, string_agg(CAST(c_custkey AS VARCHAR), ', ' ORDER BY c_custkey)
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (SELECT c_custkey FROM x_console WHERE c_acctbal < 0)""",
     "merged_adjustments": f"""
 SELECT settlement_id, CAST(requested_amount AS DOUBLE) AS requested_amount, status, version_at FROM (
-  SELECT settlement_id, requested AS requested_amount, CASE status WHEN 'P' THEN 'pending_reconciliation' ELSE 'settled' END AS status,
+  SELECT settlement_id, requested AS requested_amount, status,
     made_at AS version_at, 0 AS side FROM x_request
   UNION ALL SELECT l_orderkey, {_money('l_extendedprice', 30)}, 'adjusted', l_shipdate, 1 FROM lineitem WHERE l_returnflag = 'R')
 QUALIFY row_number() OVER (PARTITION BY settlement_id ORDER BY version_at DESC, side DESC, requested_amount DESC) = 1""",

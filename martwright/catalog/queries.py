@@ -23,7 +23,7 @@ from ..operators.temporal import as_of_join, rolling_per_event
 from ..plans import billing, checkout, consolidated, merchant360, settlement, triage
 from ..session import shared_dir
 from ..sources.files import read_csv, write_csv
-from ..sources.sample_star import EVENTS_AS_OF, ORDERS_AS_OF, SampleStar, cents, event_k, money, scaled
+from ..sources.sample_star import EVENTS_AS_OF, ORDERS_AS_OF, PENDING, SampleStar, cents, event_k, money, scaled
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +31,9 @@ CONSOLIDATED = ConsolidatedConfig(since=dt.date(1996, 1, 1))
 ALL_DAYS = 4000
 CHECKOUT_HISTORY = CheckoutConfig(lookback_days=ALL_DAYS)
 HEALTH_HISTORY = MerchantHealthConfig(active_days=ALL_DAYS)
-SETTLEMENT_HISTORY = SettlementConfig(flag_order_age_days=ALL_DAYS)
+SETTLEMENT = SettlementConfig(pending_status=PENDING)
+SETTLEMENT_HISTORY = replace(SETTLEMENT, flag_order_age_days=ALL_DAYS)
+BILLING = BillingConfig(pending_status=PENDING)
 
 _REGISTRY: dict[str, Callable[[SampleStar], DataFrame]] = {}
 
@@ -215,14 +217,14 @@ def restricted_registry_match(star: SampleStar) -> DataFrame:
 @_register
 def restricted_destination_check(star: SampleStar) -> DataFrame:
     return registry.restricted_destinations(
-        settlement.pending_requests(star["fact_settlement_request"]),
+        settlement.pending_requests(star["fact_settlement_request"], SETTLEMENT),
         star["fact_merchant_payout_setting"], star["ref_restricted_account_registry"],
     )
 
 
 @_register
 def settlement_mart(star: SampleStar) -> DataFrame:
-    return settlement.settlement_reconciliation(star, as_of=ORDERS_AS_OF)
+    return settlement.settlement_reconciliation(star, SETTLEMENT, ORDERS_AS_OF)
 
 
 @_register
@@ -234,22 +236,22 @@ def shipment_flags(star: SampleStar) -> DataFrame:
 
 @_register
 def dispute_reserve(star: SampleStar) -> DataFrame:
-    return settlement.dispute_reserves(star["fact_chargebacks"], star["dim_store"])
+    return settlement.dispute_reserves(star["fact_chargebacks"], star["dim_store"], SETTLEMENT)
 
 
 @_register
 def variance_exposure(star: SampleStar) -> DataFrame:
-    return settlement.variance_exposure(star, as_of=ORDERS_AS_OF)
+    return settlement.variance_exposure(star, SETTLEMENT, ORDERS_AS_OF)
 
 
 @_register
 def portfolio_dispute_rate(star: SampleStar) -> DataFrame:
-    return settlement.portfolio_summary(star)
+    return settlement.portfolio_summary(star, SETTLEMENT)
 
 
 @_register
 def ledger_balance(star: SampleStar) -> DataFrame:
-    return settlement.ledger_balance(star)
+    return settlement.ledger_balance(star, SETTLEMENT)
 
 
 @_register
@@ -274,7 +276,7 @@ class _BillingStar(SampleStar):
 
 @_register
 def billing_activation_mart(star: SampleStar) -> DataFrame:
-    return billing.billing_activation(_BillingStar(star.spark, star.folder), as_of=EVENTS_AS_OF)
+    return billing.billing_activation(_BillingStar(star.spark, star.folder), BILLING, EVENTS_AS_OF)
 
 
 @_register
@@ -328,7 +330,7 @@ def lifetime_orders(star: SampleStar) -> DataFrame:
 
 @_register
 def pending_invoices(star: SampleStar) -> DataFrame:
-    return billing.pending_invoices(star["fact_subscription_invoice"])
+    return billing.pending_invoices(star["fact_subscription_invoice"], BILLING)
 
 
 @_register
@@ -340,7 +342,7 @@ def csm_lookup(star: SampleStar) -> DataFrame:
 
 @_register
 def seasoned_merchants(star: SampleStar) -> DataFrame:
-    cfg = replace(BillingConfig(), tenured_orders=600)
+    cfg = replace(BILLING, tenured_orders=600)
     merchants = star.billing_merchant.select(F.col("id").alias("merchant_id"), "created_at")
     history = billing.lifetime_orders(star.billing_order).select("merchant_id", "total_lifetime_orders")
     return (
@@ -424,11 +426,11 @@ def rolling_per_event_value(star: SampleStar) -> DataFrame:
 @_register
 def ledger_as_of_request(star: SampleStar) -> DataFrame:
     requests = star["fact_settlement_request"]
-    snapshots = requests.filter("status = 'settled'").select(
+    snapshots = requests.filter(F.col("status") != PENDING).select(
         "merchant_id", F.col("created_at").alias("recorded_at"), F.col("settlement_id").alias("snapshot_id"),
         F.col("requested_amount").alias("available_balance"),
     ).withColumn("balance_at", F.col("recorded_at"))
-    pending = settlement.pending_requests(requests).select(
+    pending = settlement.pending_requests(requests, SETTLEMENT).select(
         "settlement_id", "merchant_id", "requested_amount", "settlement_requested_at"
     )
     return as_of_join(
@@ -445,7 +447,7 @@ def settlement_anchored_gmv(star: SampleStar) -> DataFrame:
         "merchant_id", "created_at", F.col("requested_amount").alias("gmv"), zero_if_null("_disputed").alias("disputed")
     )
     windows = rolling_per_event(
-        settlement.pending_requests(requests), sales, "settlement_id", "merchant_id", "settlement_requested_at",
+        settlement.pending_requests(requests, SETTLEMENT), sales, "settlement_id", "merchant_id", "settlement_requested_at",
         "created_at", 3,
         {"gmv_3d": F.col("gmv"), "orders_3d": F.lit(1).cast("bigint"), "disputed_3d": F.col("disputed").cast("bigint")},
         piece="month",

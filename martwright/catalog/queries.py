@@ -281,7 +281,7 @@ def billing_activation_mart(star: SampleStar) -> DataFrame:
 
 @_register
 def plan_neighbors(star: SampleStar) -> DataFrame:
-    return billing.plan_sequence(star["fact_subscription_invoice"], piece="month").select(
+    return billing.plan_sequence(star["fact_subscription_invoice"]).select(
         "invoice_id", "previous_plan_type", "subsequent_plan_type"
     )
 
@@ -435,7 +435,7 @@ def ledger_as_of_request(star: SampleStar) -> DataFrame:
     )
     return as_of_join(
         pending, snapshots, "merchant_id", "settlement_requested_at", "recorded_at",
-        ["balance_at", "available_balance"], tie="snapshot_id", piece="month",
+        ["balance_at", "available_balance"], tie="snapshot_id",
     )
 
 
@@ -450,7 +450,6 @@ def settlement_anchored_gmv(star: SampleStar) -> DataFrame:
         settlement.pending_requests(requests, SETTLEMENT), sales, "settlement_id", "merchant_id", "settlement_requested_at",
         "created_at", 3,
         {"gmv_3d": F.col("gmv"), "orders_3d": F.lit(1).cast("bigint"), "disputed_3d": F.col("disputed").cast("bigint")},
-        piece="month",
     )
     return windows.withColumn("dispute_rate_3d", safe_div("disputed_3d", "orders_3d"))
 

@@ -14,7 +14,7 @@ from .features import (
     tracking_reuse,
 )
 from .gateways import Gateway, checkouts_with_code, code_list_of, gateway_code_lists, normalize_gateways
-from .joins import enrich, filter_ids, first_per_key, id_list, literal_rows, lookup_text, merge_on, with_config
+from .joins import attach, enrich, filter_ids, first_per_key, id_list, literal_rows, lookup_text, merge_on, with_config
 from .linkage import account_groups, link_entities, linkage_signal
 from .registry import restricted_destinations, restricted_merchants
 from .signals import Signal, add_codes, add_flags, code_string, first_match
@@ -22,7 +22,7 @@ from .temporal import Rolling, as_of_join, rolling_as_of, rolling_per_event, wit
 
 __all__ = [
     "Gateway", "Rolling", "Signal", "account_groups", "add_codes", "add_flags", "apply_adjustments",
-    "as_of_join", "buyer_history", "buyer_velocity", "card_features", "checkouts_with_code",
+    "as_of_join", "attach", "buyer_history", "buyer_velocity", "card_features", "checkouts_with_code",
     "code_list_of", "code_string", "email_quality", "enrich", "filter_ids", "first_match", "first_per_key",
     "gateway_code_lists", "geo_features", "id_list", "ip_footprint", "link_entities", "linkage_signal",
     "literal_rows", "lookup_text", "merchant_daily_metrics", "merge_on", "multi_store_rate",

@@ -20,7 +20,7 @@ from ..functions import (
     norm_key,
     safe_div,
 )
-from .joins import enrich
+from .joins import attach
 from .temporal import Rolling, as_of_join, rolling_as_of
 
 
@@ -32,7 +32,7 @@ def buyer_velocity(
     known = F.col("_buyer").isNotNull()
     keyed = orders.withColumns({"_buyer": norm_key(buyer), "_day": F.col(ts).cast("date")})
     totals = keyed.filter(known).groupBy("_buyer", "_day").agg(F.count(F.lit(1)).alias(name))
-    return enrich(keyed, totals, ["_buyer", "_day"], spread=spread).fillna(0, [name]).drop("_buyer", "_day")
+    return attach(keyed, totals, ["_buyer", "_day"], spread=spread).fillna(0, [name]).drop("_buyer", "_day")
 
 
 def buyer_history(
@@ -50,7 +50,7 @@ def buyer_history(
             cond_count(F.lower(status).isin(*returned), F.lit(1)).alias(names[1]),
         )
     )
-    return enrich(keyed, totals, "_buyer", spread=spread).fillna(0, names).drop("_buyer")
+    return attach(keyed, totals, "_buyer", spread=spread).fillna(0, names).drop("_buyer")
 
 
 def card_features(
@@ -78,7 +78,7 @@ def tracking_reuse(
         .groupBy(tracking)
         .agg(F.count_distinct(customer).cast("int").alias(name))
     )
-    return enrich(shipments, totals, tracking, spread=spread)
+    return attach(shipments, totals, tracking, spread=spread)
 
 
 def match_text(left: Column, right: Column) -> Column:
@@ -135,7 +135,7 @@ def multi_store_rate(
     roams = F.when(F.count(F.lit(1)) >= min_shops, 1).otherwise(0)
     roaming = visits.groupBy("_buyer").agg(roams.alias("_roams"))
     return (
-        visits.join(roaming, "_buyer")
+        attach(visits, roaming, "_buyer", "inner")
         .groupBy(shop)
         .agg(
             F.count(F.lit(1)).alias("buyer_count"),

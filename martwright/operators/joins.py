@@ -2,8 +2,10 @@
 
 No join here carries a broadcast hint on a table of unknown size. Spark broadcasts a side when its
 measured size is below ``spark.sql.autoBroadcastJoinThreshold``; above it the join shuffles, and
-adaptive execution splits a hot left key over several tasks. ``spread`` splits keys by hand for
-sessions without adaptive execution.
+adaptive execution splits a hot left key over several tasks. It does so only when both sides come
+straight from a shuffle of their own, which an aggregate on the join key does not: such results
+are joined with :func:`attach`. ``spread`` splits keys by hand for sessions without adaptive
+execution.
 """
 
 from __future__ import annotations
@@ -44,6 +46,21 @@ def enrich(
     return dealt.join(copies, [*keys, "_slot"], how).drop("_slot")
 
 
+def attach(
+    df: DataFrame, per_key: DataFrame, on: str | Sequence[str], how: str = "left", spread: int = 1
+) -> DataFrame:
+    """Join an aggregate, grouped by ``on``, back to rows whose keys may be hot.
+
+    A derived second key makes the aggregate take a shuffle of its own. That costs one exchange of
+    the aggregate, and lets adaptive execution split the rows of a hot key.
+    """
+    if spread > 1:
+        return enrich(df, per_key, on, how, spread=spread)
+    keys = [on] if isinstance(on, str) else list(on)
+    half = F.pmod(F.xxhash64(*keys), F.lit(2)).cast("int")
+    return df.withColumn("_half", half).join(per_key.withColumn("_half", half), [*keys, "_half"], how).drop("_half")
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key; ``order`` should end in a unique column.
 

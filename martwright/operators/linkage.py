@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .joins import attach
 
 
 def link_entities(df: DataFrame, entity: str, attribute: str, value: str) -> DataFrame:
@@ -23,7 +24,7 @@ def link_entities(df: DataFrame, entity: str, attribute: str, value: str) -> Dat
         .agg(F.min(entity).alias("anchor"), F.count(F.lit(1)).alias("group_size"))
         .filter("group_size > 1")
     )
-    return members.join(groups, [attribute, value])
+    return attach(members, groups, [attribute, value], "inner")
 
 
 def linkage_signal(df: DataFrame, entity: str, attribute: str, value: str) -> DataFrame:
@@ -73,8 +74,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("low").alias("node"), F.col("node").alias("low")))
     least = both.groupBy("node").agg(F.min("low").alias("_least")).withColumn("_least", F.least("node", "_least"))
     return (
-        both.filter("low > node")
-        .join(least, "node")
+        attach(both.filter("low > node"), least, "node", "inner")
         .select(F.col("low").alias("node"), F.col("_least").alias("low"))
         .distinct()
     )
@@ -83,7 +83,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """Hang each node and its smaller neighbours on the smallest of them."""
     least = edges.groupBy("node").agg(F.min("low").alias("_least"))
-    moved = edges.join(least, "node").filter("low <> _least").select(
+    moved = attach(edges, least, "node", "inner").filter("low <> _least").select(
         F.col("low").alias("node"), F.col("_least").alias("low")
     )
     return moved.unionByName(least.select("node", F.col("_least").alias("low"))).distinct()

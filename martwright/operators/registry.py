@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import any_flag, code_list
-from .joins import lookup_text
+from .joins import attach, lookup_text
 
 
 def restricted_merchants(payout_settings: DataFrame, registry: DataFrame) -> DataFrame:
@@ -28,6 +28,6 @@ def restricted_merchants(payout_settings: DataFrame, registry: DataFrame) -> Dat
 def restricted_destinations(requests: DataFrame, payout_settings: DataFrame, registry: DataFrame) -> DataFrame:
     """The same per settlement request; requests without a match are absent."""
     merchants = restricted_merchants(payout_settings, registry)
-    return requests.select("settlement_id", "merchant_id").join(merchants, "merchant_id").select(
+    return attach(requests.select("settlement_id", "merchant_id"), merchants, "merchant_id", "inner").select(
         "settlement_id", F.col("is_matched").alias("is_destination_restricted"), "flagged_destination_emails"
     )

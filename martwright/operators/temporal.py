@@ -29,14 +29,16 @@ def with_neighbors(
     value: str,
     previous: str | None = None,
     subsequent: str | None = None,
-    piece: str = "day",
+    piece: str | Column = "day",
 ) -> DataFrame:
     """Add the value of the previous and of the next row per key, ordered by (ts, tie).
 
-    Same result as ``lag`` and ``lead`` over the whole key, NULLs last.
+    Same result as ``lag`` and ``lead`` over the whole key, NULLs last. ``piece`` is a calendar
+    unit, or a column that never falls along (ts, tie) within a key: where very many rows of a
+    key share an instant, ``F.struct(ts, F.floor(tie / 1000000))`` cuts that instant as well.
     """
     previous, subsequent = previous or f"previous_{value}", subsequent or f"subsequent_{value}"
-    cut = F.date_trunc(piece, F.col(ts)).alias("_piece")
+    cut = (F.date_trunc(piece, F.col(ts)) if isinstance(piece, str) else piece).alias("_piece")
     order = F.struct(F.col(ts).isNull(), F.col(ts), F.col(tie).isNull(), F.col(tie))
     per_piece = df.groupBy(*keys, cut).agg(
         F.min_by(F.struct(value), order).alias("_first"),
@@ -84,12 +86,12 @@ def as_of_join(
 
     Right rows of the same key and time are reduced to the one with the largest ``tie`` first.
     """
-    version = F.struct(tie or right_ts, *values)
+    version = F.struct(F.col(tie or right_ts).alias("_tie"), F.struct(*values).alias("_values"))
     state = (
         right.filter(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
         .groupBy(key, F.col(right_ts).alias("_at"))
         .agg(F.max(version).alias("_version"))
-        .select(key, "_at", F.struct(*(F.col(f"_version.{v}").alias(v) for v in values)).alias("_state"))
+        .select(key, "_at", F.col("_version._values").alias("_state"))
         .withColumn("_piece", F.date_trunc(piece, "_at"))
     )
     asked = left.withColumns({"_at": F.col(left_ts), "_piece": F.date_trunc(piece, F.col(left_ts))})

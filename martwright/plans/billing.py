@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import BillingConfig
 from ..functions import as_of_day, days_between, map_code, pair, regex_flag, zero_if_null
-from ..operators.joins import first_per_key
+from ..operators.joins import attach, first_per_key
 from ..operators.signals import first_match
 from ..operators.temporal import with_neighbors
 
@@ -69,7 +69,7 @@ def pending_invoices(invoices: DataFrame, cfg: BillingConfig = BillingConfig())
     )
 
 
-def plan_sequence(invoices: DataFrame, piece: str = "day") -> DataFrame:
+def plan_sequence(invoices: DataFrame, piece: str | Column = "day") -> DataFrame:
     """Previous and next plan of the merchant for every invoice."""
     return with_neighbors(
         invoices.select("invoice_id", "merchant_id", "created_at", "plan_type"),
@@ -105,19 +105,19 @@ def staged_charges(
 ) -> DataFrame:
     """First charges with order history, pending invoices and tenure.
 
-    The first charge is picked before the per-merchant results are joined. The plan sequence is
-    no input of the decision and is added on request.
+    The first charge is picked before the per-merchant results are joined, and those are joined
+    with each other first, so the charges are shuffled once for both. The plan sequence is no
+    input of the decision and is added on request.
     """
     charges = first_charges(external_charges(tables["fact_billing_charge_event"], tables["dim_merchant"], cfg))
-    staged = (
-        charges.join(lifetime_orders(tables["dim_order"]), "merchant_id", "left")
-        .join(pending_invoices(tables["fact_subscription_invoice"], cfg), "merchant_id", "left")
-        .withColumns({
-            "count_pending_invoices": zero_if_null("count_pending_invoices"),
-            "total_pending_invoice_amount": zero_if_null("total_pending_invoice_amount"),
-            "merchant_tenure_days": days_between(as_of_day(as_of), F.col("merchant_created_at")),
-        })
+    history = lifetime_orders(tables["dim_order"]).join(
+        pending_invoices(tables["fact_subscription_invoice"], cfg), "merchant_id", "full"
     )
+    staged = attach(charges, history, "merchant_id").withColumns({
+        "count_pending_invoices": zero_if_null("count_pending_invoices"),
+        "total_pending_invoice_amount": zero_if_null("total_pending_invoice_amount"),
+        "merchant_tenure_days": days_between(as_of_day(as_of), F.col("merchant_created_at")),
+    })
     if with_plans:
         plans = plan_sequence(tables["fact_subscription_invoice"]).select(
             "invoice_id", "subsequent_plan_type", "previous_plan_type"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import CheckoutConfig
 from ..functions import as_of_day, blank_to_null, norm_key, safe_div, zero_if_null
 from ..operators.gateways import Gateway, checkouts_with_code, gateway_code_lists
+from ..operators.joins import attach
 from ..operators.signals import Signal, add_flags, code_string, first_match
 
 Tables = Mapping[str, DataFrame]
@@ -100,9 +101,9 @@ def prepared_orders(
         declined = F.lit(False)
         for name in gateways(tables):
             declined = declined | F.coalesce(F.col(f"{name}_signals").contains(DECLINE), F.lit(False))
-        return named.join(lists, "checkout_id", "left").withColumn("has_decline", declined)
+        return attach(named, lists, "checkout_id").withColumn("has_decline", declined)
     hits = checkouts_with_code(gateways(tables), DECLINE).withColumn("has_decline", F.lit(True))
-    return named.join(hits, "checkout_id", "left").withColumn(
+    return attach(named, hits, "checkout_id").withColumn(
         "has_decline", F.coalesce(F.col("has_decline"), F.lit(False))
     )
 

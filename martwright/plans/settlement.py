@@ -2,7 +2,7 @@
 
 Everything a request is compared with depends on its merchant alone. The facts are therefore
 reduced per shop and per merchant first, joined there (all sides already partitioned by
-merchant), and met by the requests in one last join. Grain: settlement_id is unique.
+merchant), and met by the requests in one last join that can split a hot merchant. Grain: settlement_id is unique.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import SettlementConfig
 from ..functions import as_of_day, days_between, ratio_of_sums, zero_if_null
+from ..operators.joins import attach
 from ..operators.registry import restricted_merchants
 from ..operators.signals import first_match
 
@@ -120,7 +121,7 @@ def merchant_exposure(tables: Tables, cfg: SettlementConfig = SettlementConfig()
 
 def variance_exposure(tables: Tables, cfg: SettlementConfig = SettlementConfig(), as_of=None) -> DataFrame:
     requests = pending_requests(tables["fact_settlement_request"], cfg)
-    return requests.join(merchant_exposure(tables, cfg, as_of), "merchant_id", "left").select(
+    return attach(requests, merchant_exposure(tables, cfg, as_of), "merchant_id").select(
         "settlement_id", zero_if_null("_exposure").alias("total_unfulfilled_or_disputed_exposure")
     )
 
@@ -135,7 +136,7 @@ def portfolio(stores: DataFrame) -> DataFrame:
 
 def portfolio_summary(tables: Tables, cfg: SettlementConfig = SettlementConfig()) -> DataFrame:
     requests = pending_requests(tables["fact_settlement_request"], cfg)
-    return requests.join(portfolio(tables["dim_store"]), "merchant_id", "left").select(
+    return attach(requests, portfolio(tables["dim_store"]), "merchant_id").select(
         "settlement_id", "merchant_id", F.col("portfolio_segment").alias("store_segment"), "total_orders",
         "portfolio_dispute_rate",
     )
@@ -177,7 +178,7 @@ def ledger_balance(
         "merchant_id",
         "left",
     )
-    return requests.join(position, "merchant_id", "left").select(
+    return attach(requests, position, "merchant_id").select(
         "settlement_id", "merchant_id", "requested_amount",
         projected_balance(exclude_self).alias("projected_remaining_balance"),
     )
@@ -223,7 +224,7 @@ def settlement_reconciliation(
 ) -> DataFrame:
     requests = pending_requests(tables["fact_settlement_request"], cfg)
     position = merchant_position(tables, requests, cfg, as_of)
-    joined = requests.join(position, "merchant_id", "left").withColumns({
+    joined = attach(requests, position, "merchant_id").withColumns({
         "is_destination_restricted": zero_if_null("is_matched"),
         "total_unfulfilled_or_disputed_exposure": zero_if_null("_exposure"),
         "projected_remaining_balance": projected_balance(exclude_self),

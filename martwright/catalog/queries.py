@@ -23,7 +23,7 @@ from ..operators.temporal import as_of_join, rolling_per_event
 from ..plans import billing, checkout, consolidated, merchant360, settlement, triage
 from ..session import shared_dir
 from ..sources.files import read_csv, write_csv
-from ..sources.sample_star import EVENTS_AS_OF, ORDERS_AS_OF, PENDING, SampleStar, cents, event_k, money, scaled
+from ..sources.sample_star import EVENT_K, EVENTS_AS_OF, ORDERS_AS_OF, PENDING, SampleStar, cents, money, scaled
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -414,7 +414,7 @@ def view_to_purchase_3d(star: SampleStar) -> DataFrame:
 @_register
 def rolling_per_event_value(star: SampleStar) -> DataFrame:
     events = star.raw("events").select(
-        "event_id", "user_id", "ts", "event_type", money(cents("value")).alias("amount")
+        "event_id", "user_id", "ts", "event_type", F.expr(money(cents("value"))).alias("amount")
     )
     purchases = events.filter("event_type = 'purchase'")
     return rolling_per_event(
@@ -566,7 +566,7 @@ def account_groups(star: SampleStar) -> DataFrame:
 
 @_register
 def session_ip_mismatch(star: SampleStar) -> DataFrame:
-    events = star.raw("events").withColumn("ip", F.concat(F.lit("10.0.0."), event_k()))
+    events = star.raw("events").withColumn("ip", F.concat(F.lit("10.0.0."), F.expr(EVENT_K)))
     purchases = events.filter("event_type = 'purchase'").select(
         F.col("event_id").alias("order_id"), "user_id", F.col("ts").alias("ordered_at"), F.col("ip").alias("order_ip")
     )
@@ -612,7 +612,7 @@ def merged_adjustments(star: SampleStar) -> DataFrame:
         "settlement_id", "requested_amount", "status", F.col("created_at").alias("version_at")
     )
     updates = star.raw("lineitem").filter("l_returnflag = 'R'").select(
-        F.col("l_orderkey").alias("settlement_id"), money(scaled("l_extendedprice", 30)).alias("requested_amount"),
+        F.col("l_orderkey").alias("settlement_id"), F.expr(money(scaled("l_extendedprice", 30))).alias("requested_amount"),
         F.lit("adjusted").alias("status"), F.col("l_shipdate").alias("version_at"),
     )
     return apply_adjustments(base, updates, "settlement_id", "version_at", tie="requested_amount")
@@ -638,14 +638,14 @@ def sink_round_trip(star: SampleStar) -> DataFrame:
 
 @_register
 def run_statistics(star: SampleStar) -> DataFrame:
-    timings = star.raw("events").select("event_type", "value", event_k().cast("int").alias("records"))
+    timings = star.raw("events").select("event_type", "value", F.expr(EVENT_K).cast("int").alias("records"))
     stats = metrics.run_statistics(timings, "event_type", "value", "records")
     return stats.withColumns({n: F.round(n, 4) for n in ("mean_ms", "std_ms", "records_per_sec")})
 
 
 @_register
 def run_speed_up(star: SampleStar) -> DataFrame:
-    timings = star.raw("events").select("event_type", "value", event_k().cast("int").alias("records"))
+    timings = star.raw("events").select("event_type", "value", F.expr(EVENT_K).cast("int").alias("records"))
     wide = metrics.speed_up(
         metrics.run_statistics(timings, "event_type", "value", "records"), "event_type", "view", "click"
     )

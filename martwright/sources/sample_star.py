@@ -47,17 +47,30 @@ DISPUTE_KEYWORDS = ("blue", "green")
 PENDING = "P"  # the sample's status of open orders, requests and invoices
 
 
-def cents(price: str) -> Column:
-    return F.round(F.col(price) * 100).cast("bigint")
+def cents(price: str) -> str:
+    return f"cast(round({price} * 100) as bigint)"
 
 
-def scaled(price: str, divisor: int) -> Column:
-    """``price / divisor`` in whole cents."""
-    return F.floor(cents(price) / F.lit(divisor)).cast("bigint")
+def scaled(price: str, divisor: int) -> str:
+    """``price / divisor`` in whole cents, as SQL text."""
+    return f"cast(floor({cents(price)} / {divisor}) as bigint)"
 
 
-def money(whole_cents: Column) -> Column:
-    return (whole_cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
+def money(whole_cents: str) -> str:
+    return f"cast(({whole_cents}) * 0.01 as decimal(18,2))"
+
+
+EVENT_K = "get_json_object(props, '$.k')"  # the k property of an event, as text
+TRAFFIC = (
+    "case when o_orderpriority in ('1-URGENT', '2-HIGH') then 'direct' when o_orderpriority = '5-LOW' then '' "
+    "when o_orderpriority = '3-MEDIUM' then 'facebook' else 'google' end"
+)
+IS_TEST = "case when o_totalprice < 2000 then 1 else 0 end"  # sandbox-sized orders count as tests
+# Mixed case; some domains are disposable, some addresses malformed.
+BUYER_EMAIL = (
+    "concat('Buyer', o_custkey, case o_orderpriority when '1-URGENT' then '@Mailinator.example' "
+    "when '2-HIGH' then '@mail' else '@Buyers.example' end)"
+)
 
 
 _FILE_SCHEMAS: dict[str, StructType] = {}
@@ -68,13 +81,16 @@ class SampleStar:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         """A source table. Its schema is read from the file once; later reads start no job for it."""
-        path = f"{self.folder}/{name}.parquet"
-        if path not in _FILE_SCHEMAS:
-            _FILE_SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_FILE_SCHEMAS[path]).parquet(path)
+        if name not in self._raw:
+            path = f"{self.folder}/{name}.parquet"
+            if path not in _FILE_SCHEMAS:
+                _FILE_SCHEMAS[path] = self.spark.read.parquet(path).schema
+            self._raw[name] = self.spark.read.schema(_FILE_SCHEMAS[path]).parquet(path)
+        return self._raw[name]
 
     def __getitem__(self, role: str) -> DataFrame:
         return getattr(self, role)
@@ -86,56 +102,44 @@ class SampleStar:
 
     @cached_property
     def merchants(self) -> DataFrame:
-        country = self.raw("nation").select(
-            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")
-        )
-        return self.raw("customer").join(country, "c_nationkey", "left").select(
-            F.col("c_custkey").alias("shop_id"),
-            (F.lit(1000) + F.col("c_nationkey")).cast("bigint").alias("user_id"),
-            F.when(F.col("c_mktsegment") == "MACHINERY", 0).otherwise(1).alias("is_public_domain"),
+        country = self.raw("nation").selectExpr("n_nationkey as c_nationkey", "n_name as country")
+        return self.raw("customer").join(country, "c_nationkey", "left").selectExpr(
+            "c_custkey as shop_id",
+            "cast(1000 + c_nationkey as bigint) as user_id",
+            "case c_mktsegment when 'MACHINERY' then 0 else 1 end as is_public_domain",
             "country",
         )
 
     @cached_property
     def orders(self) -> DataFrame:
-        gmv = scaled("o_totalprice", 400)
-        cost = F.floor(gmv * (F.lit(103) - F.dayofmonth("o_orderdate")) / 100).cast("bigint")
-        day = F.weekday("o_orderdate")
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("shop_id"),
-            F.col("o_orderdate").alias("order_created_at"),
-            money(gmv).alias("gmv"),
-            money(gmv - cost).alias("merchant_profit"),
-            traffic_source().alias("traffic_source"),
-            F.lit("US").alias("shipping_country"),
-            F.when(day == 6, "VN").when(day != 5, "US").alias("card_country"),
-            F.when(F.month("o_orderdate").isin(11, 12, 1), 3).otherwise(1).alias("payment_attempts"),
+        return self.raw("orders").selectExpr("*", f"{scaled('o_totalprice', 400)} as g").selectExpr(
+            "o_orderkey as order_id",
+            "o_custkey as shop_id",
+            "o_orderdate as order_created_at",
+            f"{money('g')} as gmv",
+            f"{money('g - cast(floor(g * (103 - dayofmonth(o_orderdate)) / 100) as bigint)')} as merchant_profit",
+            f"{TRAFFIC} as traffic_source",
+            "'US' as shipping_country",
+            "case weekday(o_orderdate) when 6 then 'VN' when 5 then null else 'US' end as card_country",
+            "case when month(o_orderdate) in (11, 12, 1) then 3 else 1 end as payment_attempts",
         )
 
     @cached_property
     def web_sessions(self) -> DataFrame:
-        return self.raw("events").select(
-            F.col("event_id").alias("session_id"),
-            F.col("user_id").alias("shop_id"),
-            F.concat(F.lit("10.0.0."), event_k()).alias("ip_address"),
-            F.col("event_type").alias("event_name"),
-            F.col("ts").alias("created_at"),
+        return self.raw("events").selectExpr(
+            "event_id as session_id", "user_id as shop_id", f"concat('10.0.0.', {EVENT_K}) as ip_address",
+            "event_type as event_name", "ts as created_at",
         )
 
     def _disputed_lines(self) -> DataFrame:
-        return self.raw("lineitem").filter(
-            (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.1) & (F.col("l_tax") >= 0.07)
-        )
+        return self.raw("lineitem").filter("l_returnflag = 'R' and l_discount >= 0.1D and l_tax >= 0.07D")
 
     @cached_property
     def disputes(self) -> DataFrame:
-        shops = self.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("shop_id"))
-        return self._disputed_lines().join(shops, "l_orderkey").select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("dispute_id"),
-            F.col("l_orderkey").alias("order_id"),
-            "shop_id",
-            money(scaled("l_extendedprice", 400)).alias("amount"),
+        shops = self.raw("orders").selectExpr("o_orderkey as l_orderkey", "o_custkey as shop_id")
+        return self._disputed_lines().join(shops, "l_orderkey").selectExpr(
+            "l_orderkey * 10 + l_linenumber as dispute_id", "l_orderkey as order_id", "shop_id",
+            f"{money(scaled('l_extendedprice', 400))} as amount",
         )
 
     # ---- checkout -------------------------------------------------------------------------
@@ -143,16 +147,14 @@ class SampleStar:
     @cached_property
     def order_lines(self) -> DataFrame:
         """Line totals per order: shop, quantity, margins, prices, shipping."""
-        return self.raw("lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
-            F.min("l_suppkey").alias("shop_id"),
-            F.sum("l_quantity").cast("int").alias("total_quantity"),
-            F.count(F.lit(1)).cast("int").alias("line_item_count"),
-            F.max(F.col("l_discount") + F.col("l_tax")).alias("base_cost_margin"),
-            F.max(F.floor("l_extendedprice")).cast("bigint").alias("top_price"),
-            F.max(scaled("l_extendedprice", 8)).alias("top_line_cents"),
-            F.max("l_shipdate").alias("last_ship"),
-            F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("has_return"),
+        totals = (
+            "min(l_suppkey) as shop_id", "cast(sum(l_quantity) as int) as total_quantity",
+            "cast(count(*) as int) as line_item_count", "max(l_discount + l_tax) as base_cost_margin",
+            "cast(max(floor(l_extendedprice)) as bigint) as top_price",
+            f"max({scaled('l_extendedprice', 8)}) as top_line_cents", "max(l_shipdate) as last_ship",
+            "max(case l_returnflag when 'R' then 1 else 0 end) as has_return",
         )
+        return self.raw("lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(*map(F.expr, totals))
 
     def _orders_with_lines(self) -> DataFrame:
         return self.raw("orders").withColumnRenamed("o_orderkey", "order_id").join(
@@ -170,50 +172,43 @@ class SampleStar:
         return self._dim_order(8)
 
     def _dim_order(self, divisor: int) -> DataFrame:
-        gmv = scaled("o_totalprice", divisor)
-        cost = F.floor(gmv * (F.lit(103) - F.dayofmonth("o_orderdate") * 3) / 100).cast("bigint")
-        priority, status, day = F.col("o_orderpriority"), F.col("o_orderstatus"), F.weekday("o_orderdate")
-        distance = F.floor(F.col("top_price") / 60).cast("bigint").cast("string")
-        stores = self.raw("supplier").select(
-            F.col("s_suppkey").alias("shop_id"), F.col("s_nationkey").cast("bigint").alias("merchant_id")
-        )
-        return self._orders_with_lines().join(stores, "shop_id", "left").select(
+        stores = self.raw("supplier").selectExpr("s_suppkey as shop_id", "cast(s_nationkey as bigint) as merchant_id")
+        day = "weekday(o_orderdate)"
+        return self._orders_with_lines().join(stores, "shop_id", "left").selectExpr(
+            "*", f"{scaled('o_totalprice', divisor)} as g"
+        ).selectExpr(
             "order_id",
-            F.concat(F.lit("#"), F.col("order_id")).alias("order_name"),
+            "concat('#', order_id) as order_name",
             "shop_id",
             "merchant_id",
-            F.col("order_id").alias("checkout_id"),
-            F.col("o_orderdate").alias("order_created_at"),
-            is_test().alias("is_test"),
-            buyer_email().alias("buyer_email"),
-            F.when(priority == "1-URGENT", "Stripe").when(priority == "2-HIGH", "PayPal").otherwise("Airwallex").alias(
-                "payment_gateway"
-            ),
-            F.when(status == "P", F.concat(F.lit(" "), F.initcap(traffic_source()))).otherwise(traffic_source()).alias(
-                "order_traffic_source"
-            ),
-            F.when(priority != "3-MEDIUM", money(gmv)).when(status != "P", money(gmv)).alias("gmv"),
-            F.when(day != 6, money(gmv - cost)).alias("merchant_profit"),
+            "order_id as checkout_id",
+            "o_orderdate as order_created_at",
+            f"{IS_TEST} as is_test",
+            f"{BUYER_EMAIL} as buyer_email",
+            "case o_orderpriority when '1-URGENT' then 'Stripe' when '2-HIGH' then 'PayPal' else 'Airwallex' end "
+            "as payment_gateway",
+            f"case o_orderstatus when 'P' then concat(' ', initcap({TRAFFIC})) else {TRAFFIC} end as order_traffic_source",
+            f"case when o_orderpriority <> '3-MEDIUM' or o_orderstatus <> 'P' then {money('g')} end as gmv",
+            f"case when {day} <> 6 then "
+            f"{money('g - cast(floor(g * (103 - dayofmonth(o_orderdate) * 3) / 100) as bigint)')} end as merchant_profit",
             "base_cost_margin",
             "total_quantity",
             "line_item_count",
-            F.col("line_item_count").alias("payment_attempt"),
-            F.floor(F.col("total_quantity") / 2).cast("int").alias("gateway_latency_ms"),
-            F.when(priority == "4-NOT SPECIFIED", "n/a").otherwise(distance).alias("distance_billing_to_shipment"),
-            F.when(day == 0, "not match").otherwise("match").alias("shipping_match_ip_country"),
-            F.when(day == 1, "not match").when(day == 2, "").otherwise("match").alias("shipping_match_card_country"),
-            F.when(day == 3, "billing country doesn't match card").when(day == 4, "").otherwise("match").alias(
-                "billing_match_card_country"
-            ),
-            F.when(day == 2, "").otherwise("match").alias("ip_match_card_country"),
-            F.when(status == "F", "not match").otherwise("match").alias("billing_shipping_match"),
-            F.when(priority == "5-LOW", 0).when(priority == "2-HIGH", 1).alias("is_same_store_public_domain"),
-            money(F.col("top_line_cents")).alias("max_raw_price_lineitem"),
-            F.when(status == "F", F.col("last_ship")).alias("account_tier_updated_at"),
-            F.lower(traffic_source()).alias("referring_site_label"),
-            F.when(status == "F", "cancelled").when(status == "P", "refunded").otherwise("completed").alias(
-                "order_status"
-            ),
+            "line_item_count as payment_attempt",
+            "cast(floor(total_quantity / 2) as int) as gateway_latency_ms",
+            "case o_orderpriority when '4-NOT SPECIFIED' then 'n/a' "
+            "else cast(cast(floor(top_price / 60) as bigint) as string) end as distance_billing_to_shipment",
+            f"case {day} when 0 then 'not match' else 'match' end as shipping_match_ip_country",
+            f"case {day} when 1 then 'not match' when 2 then '' else 'match' end as shipping_match_card_country",
+            f"case {day} when 3 then 'billing country doesn\\'t match card' when 4 then '' else 'match' end "
+            "as billing_match_card_country",
+            f"case {day} when 2 then '' else 'match' end as ip_match_card_country",
+            "case o_orderstatus when 'F' then 'not match' else 'match' end as billing_shipping_match",
+            "case o_orderpriority when '5-LOW' then 0 when '2-HIGH' then 1 end as is_same_store_public_domain",
+            f"{money('top_line_cents')} as max_raw_price_lineitem",
+            "case o_orderstatus when 'F' then last_ship end as account_tier_updated_at",
+            f"{TRAFFIC} as referring_site_label",
+            "case o_orderstatus when 'F' then 'cancelled' when 'P' then 'refunded' else 'completed' end as order_status",
         )
 
     @cached_property
@@ -359,18 +354,14 @@ class SampleStar:
 
     @cached_property
     def fact_settlement_request(self) -> DataFrame:
-        merchants = self.raw("customer").select(
-            F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias("merchant_id"),
-            F.lower("c_mktsegment").alias("store_segment"),
+        merchants = self.raw("customer").selectExpr(
+            "c_custkey as o_custkey", "cast(c_nationkey as bigint) as merchant_id", "lower(c_mktsegment) as store_segment"
         )
-        return self.raw("orders").join(merchants, "o_custkey", "left").select(
-            F.col("o_orderkey").alias("settlement_id"),
-            "merchant_id",
-            "store_segment",
-            money(scaled("o_totalprice", 30)).alias("requested_amount"),
-            money(scaled("o_totalprice", 300)).alias("reserve_hold_amount"),
-            F.col("o_orderdate").alias("created_at"),
-            F.col("o_orderstatus").alias("status"),
+        return self.raw("orders").join(merchants, "o_custkey", "left").selectExpr(
+            "o_orderkey as settlement_id", "merchant_id", "store_segment",
+            f"{money(scaled('o_totalprice', 30))} as requested_amount",
+            f"{money(scaled('o_totalprice', 300))} as reserve_hold_amount",
+            "o_orderdate as created_at", "o_orderstatus as status",
         )
 
     @cached_property
@@ -398,30 +389,26 @@ class SampleStar:
     @cached_property
     def shipments_by_customer(self) -> DataFrame:
         """One row per order with its tracking number and customer."""
-        number = F.concat(
-            F.lit("T"), F.floor(F.col("o_totalprice") / 1000), F.lit("-"), F.date_format("o_orderdate", "yyyyMM")
-        )
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-            F.when(F.col("o_orderpriority") != "5-LOW", number).alias("tracking_number"),
+        number = "concat('T', floor(o_totalprice / 1000), '-', date_format(o_orderdate, 'yyyyMM'))"
+        return self.raw("orders").selectExpr(
+            "o_orderkey as order_id", "o_custkey as customer_id",
+            f"case when o_orderpriority <> '5-LOW' then {number} end as tracking_number",
             "o_orderdate", "o_orderstatus", "o_totalprice",
         )
 
     @cached_property
     def fact_order_daily(self) -> DataFrame:
         amount = money(scaled("o_totalprice", 2000))
-        odd_country = F.col("line_item_count") >= 7
-        return tracking_reuse(self.shipments_by_customer).join(self.order_lines, "order_id", "left").select(
+        return tracking_reuse(self.shipments_by_customer).join(self.order_lines, "order_id", "left").selectExpr(
             "order_id", "shop_id",
-            amount.alias("order_amount"),
-            F.col("o_orderdate").alias("order_created_at"),
-            F.when((F.col("has_return") == 1) & (F.col("line_item_count") <= 2), F.col("order_id")).alias("dispute_id"),
-            F.when(F.col("o_orderstatus") == "F", amount).alias("refund_amount"),
+            f"{amount} as order_amount",
+            "o_orderdate as order_created_at",
+            "case when has_return = 1 and line_item_count <= 2 then order_id end as dispute_id",
+            f"case o_orderstatus when 'F' then {amount} end as refund_amount",
             "tracking_number", "distinct_customers_same_tracking",
-            F.when(odd_country, "Vietnam").when(F.col("o_orderstatus") == "O", "United States").alias(
-                "tracking_dest_country"
-            ),
-            F.lit("United States").alias("shipping_country_name"),
+            "case when line_item_count >= 7 then 'Vietnam' when o_orderstatus = 'O' then 'United States' end "
+            "as tracking_dest_country",
+            "'United States' as shipping_country_name",
         )
 
     @cached_property
@@ -432,11 +419,10 @@ class SampleStar:
 
     @cached_property
     def fact_chargebacks(self) -> DataFrame:
-        return self._disputed_lines().select(
-            F.col("l_suppkey").alias("shop_id"),
-            F.col("l_orderkey").alias("order_id"),
-            money(scaled("l_extendedprice", 40)).alias("dispute_amount_usd"),
-            F.when(F.col("l_linestatus") == "O", "Pending_Arbitration").otherwise("won").alias("status"),
+        return self._disputed_lines().selectExpr(
+            "l_suppkey as shop_id", "l_orderkey as order_id",
+            f"{money(scaled('l_extendedprice', 40))} as dispute_amount_usd",
+            "case l_linestatus when 'O' then 'Pending_Arbitration' else 'won' end as status",
         )
 
     # ---- billing --------------------------------------------------------------------------
@@ -448,57 +434,39 @@ class SampleStar:
     @cached_property
     def billing_order(self) -> DataFrame:
         """Orders under the billing ids of their customers' merchants."""
-        return self.raw("orders").join(self._customer_merchant(), "o_custkey", "left").select(
-            F.col("o_orderkey").alias("order_id"), "merchant_id", F.col("o_orderdate").alias("order_created_at"),
-            is_test().alias("is_test"),
+        return self.raw("orders").join(self._customer_merchant(), "o_custkey", "left").selectExpr(
+            "o_orderkey as order_id", "merchant_id", "o_orderdate as order_created_at", f"{IS_TEST} as is_test"
         )
 
     def _customer_merchant(self) -> DataFrame:
-        return self.raw("customer").select(
-            F.col("c_custkey").alias("o_custkey"),
-            (F.col("c_nationkey").cast("bigint") + 10000000).alias("merchant_id"),
-            "c_mktsegment",
+        return self.raw("customer").selectExpr(
+            "c_custkey as o_custkey", "cast(c_nationkey as bigint) + 10000000 as merchant_id", "c_mktsegment"
         )
 
     @cached_property
     def fact_subscription_invoice(self) -> DataFrame:
-        return self.raw("orders").join(self._customer_merchant(), "o_custkey", "left").select(
-            F.col("o_orderkey").alias("invoice_id"),
-            "merchant_id",
-            money(scaled("o_totalprice", 255000)).alias("invoice_amount"),
-            F.col("o_orderstatus").alias("payment_status"),
-            F.lower("o_orderpriority").alias("plan_type"),
-            F.col("o_orderdate").alias("created_at"),
+        return self.raw("orders").join(self._customer_merchant(), "o_custkey", "left").selectExpr(
+            "o_orderkey as invoice_id", "merchant_id", f"{money(scaled('o_totalprice', 255000))} as invoice_amount",
+            "o_orderstatus as payment_status", "lower(o_orderpriority) as plan_type", "o_orderdate as created_at",
         )
 
     @cached_property
     def fact_billing_charge_event(self) -> DataFrame:
-        k, kind = event_k().cast("int"), F.col("event_type")
         merchants = self._customer_merchant().withColumnRenamed("o_custkey", "user_id")
-        message = (
-            F.when((kind == "error") & (k >= 80), "processor: stolen_card")
-            .when((kind == "error") & (k >= 50), "soft: insufficient_funds; card_declined")
-            .when(kind == "error", "expired_card")
-            .when(kind == "view", "approved")
-        )
-        country = (
-            F.when(k < 30, "USA").when(k < 45, "VNM").when(k < 55, "GBR").when(k < 65, "CAN").when(k < 75, "BRA")
-            .when(k < 85, "JPN").when(k < 93, "DEU")
-        )
-        home = (
-            F.when(F.col("c_mktsegment") == "MACHINERY", "Vietnam").when(F.col("c_mktsegment") == "BUILDING", "Canada")
-            .when(F.col("c_mktsegment") != "HOUSEHOLD", "United States")
-        )
-        return self.raw("events").join(merchants, "user_id", "left").select(
-            F.col("event_id").alias("billing_event_id"),
-            "merchant_id",
-            F.when(kind != "signup", F.col("user_id") * 100 + k).alias("payment_instrument_id"),
-            F.col("event_id").alias("invoice_id"),
-            F.col("ts").alias("billing_event_timestamp"),
-            home.alias("merchant_country"),
-            money(cents("value")).alias("billing_amount"),
-            country.alias("card_issuing_country_code"),
-            message.alias("gateway_error_message"),
+        events = self.raw("events").selectExpr("*", f"cast({EVENT_K} as int) as k")
+        return events.join(merchants, "user_id", "left").selectExpr(
+            "event_id as billing_event_id", "merchant_id",
+            "case when event_type <> 'signup' then user_id * 100 + k end as payment_instrument_id",
+            "event_id as invoice_id", "ts as billing_event_timestamp",
+            "case c_mktsegment when 'MACHINERY' then 'Vietnam' when 'BUILDING' then 'Canada' when 'HOUSEHOLD' then null "
+            "else 'United States' end as merchant_country",
+            f"{money(cents('value'))} as billing_amount",
+            "case when k < 30 then 'USA' when k < 45 then 'VNM' when k < 55 then 'GBR' when k < 65 then 'CAN' "
+            "when k < 75 then 'BRA' when k < 85 then 'JPN' when k < 93 then 'DEU' end as card_issuing_country_code",
+            "case when event_type = 'error' and k >= 80 then 'processor: stolen_card' "
+            "when event_type = 'error' and k >= 50 then 'soft: insufficient_funds; card_declined' "
+            "when event_type = 'error' then 'expired_card' when event_type = 'view' then 'approved' end "
+            "as gateway_error_message",
         )
 
     # ---- metric dictionary ----------------------------------------------------------------
@@ -544,40 +512,9 @@ class SampleStar:
     @cached_property
     def user_profile(self) -> DataFrame:
         """Distinct addresses of a user's non-signup events per day, as comma-separated text."""
-        address = F.when(F.col("event_type") != "signup", F.concat(F.lit("10.0.0."), event_k()))
+        address = F.when(F.col("event_type") != "signup", F.concat(F.lit("10.0.0."), F.expr(EVENT_K)))
         return (
             self.raw("events").select("user_id", F.col("ts").cast("date").alias("event_day"), address.alias("ip"))
             .groupBy("user_id", "event_day")
             .agg(F.expr("listagg(distinct ip, ',') within group (order by ip)").alias("ip_location"))
         )
-
-
-def event_k() -> Column:
-    """The ``k`` property of an event, as text."""
-    return F.get_json_object("props", "$.k")
-
-
-def traffic_source() -> Column:
-    priority = F.col("o_orderpriority")
-    return (
-        F.when(priority.isin("1-URGENT", "2-HIGH"), "direct")
-        .when(priority == "5-LOW", "")
-        .when(priority == "3-MEDIUM", "facebook")
-        .otherwise("google")
-    )
-
-
-def is_test() -> Column:
-    """Sandbox-sized orders count as tests."""
-    return F.when(F.col("o_totalprice") < 2000, 1).otherwise(0)
-
-
-def buyer_email() -> Column:
-    """Buyer address with mixed case; some domains are disposable, some addresses malformed."""
-    priority = F.col("o_orderpriority")
-    domain = (
-        F.when(priority == "1-URGENT", "@Mailinator.example")
-        .when(priority == "2-HIGH", "@mail")
-        .otherwise("@Buyers.example")
-    )
-    return F.concat(F.lit("Buyer"), F.col("o_custkey"), domain)

@@ -19,7 +19,7 @@ from ..functions import as_of_day, days_between, map_code, pair, pct_text, regex
 from ..operators import features, gateways, linkage, metrics, registry
 from ..operators.adjustments import apply_adjustments
 from ..operators.joins import filter_ids, id_list, with_config
-from ..operators.temporal import as_of_join, rolling_per_event
+from ..operators.temporal import as_of_join, piece_for, rolling_per_event
 from ..plans import billing, checkout, consolidated, merchant360, settlement, triage
 from ..session import shared_dir
 from ..sources.files import read_csv, write_csv
@@ -50,6 +50,18 @@ def _report(df: DataFrame) -> DataFrame:
     })
 
 
+ORDER_DAYS, EVENT_DAYS = 2400, 30  # time spans of the sample tables
+
+
+def _order_piece(star: SampleStar) -> str:
+    """The piece of an order time line; the row count comes from the file footers."""
+    return piece_for(star.raw("orders").count(), ORDER_DAYS)
+
+
+def _event_piece(star: SampleStar) -> str:
+    return piece_for(star.raw("events").count(), EVENT_DAYS)
+
+
 def queries() -> dict[str, Query]:
     def bind(build: Callable[[SampleStar], DataFrame]) -> Query:
         return lambda spark, folder: _report(build(SampleStar(spark, folder)))
@@ -281,7 +293,7 @@ def billing_activation_mart(star: SampleStar) -> DataFrame:
 
 @_register
 def plan_neighbors(star: SampleStar) -> DataFrame:
-    return billing.plan_sequence(star["fact_subscription_invoice"]).select(
+    return billing.plan_sequence(star["fact_subscription_invoice"], _order_piece(star)).select(
         "invoice_id", "previous_plan_type", "subsequent_plan_type"
     )
 
@@ -419,7 +431,7 @@ def rolling_per_event_value(star: SampleStar) -> DataFrame:
     purchases = events.filter("event_type = 'purchase'")
     return rolling_per_event(
         purchases, events, "event_id", "user_id", "ts", "ts", 3,
-        {"amount_3d": F.col("amount"), "events_3d": F.lit(1).cast("bigint")},
+        {"amount_3d": F.col("amount"), "events_3d": F.lit(1).cast("bigint")}, piece=_event_piece(star),
     )
 
 
@@ -435,7 +447,7 @@ def ledger_as_of_request(star: SampleStar) -> DataFrame:
     )
     return as_of_join(
         pending, snapshots, "merchant_id", "settlement_requested_at", "recorded_at",
-        ["balance_at", "available_balance"], tie="snapshot_id",
+        ["balance_at", "available_balance"], tie="snapshot_id", piece=_order_piece(star),
     )
 
 
@@ -450,6 +462,7 @@ def settlement_anchored_gmv(star: SampleStar) -> DataFrame:
         settlement.pending_requests(requests, SETTLEMENT), sales, "settlement_id", "merchant_id", "settlement_requested_at",
         "created_at", 3,
         {"gmv_3d": F.col("gmv"), "orders_3d": F.lit(1).cast("bigint"), "disputed_3d": F.col("disputed").cast("bigint")},
+        piece=_order_piece(star),
     )
     return windows.withColumn("dispute_rate_3d", safe_div("disputed_3d", "orders_3d"))
 
@@ -574,7 +587,7 @@ def session_ip_mismatch(star: SampleStar) -> DataFrame:
         F.col("event_id").alias("session_id"), "user_id", F.col("ts").alias("seen_at"), F.col("ip").alias("ip_address")
     )
     return features.session_ip_mismatch(
-        purchases, sessions, "user_id", "ordered_at", "seen_at", "24 hours"
+        purchases, sessions, "user_id", "ordered_at", "seen_at", "24 hours", piece=_event_piece(star)
     ).select("order_id", "order_ip", "session_ip", "sig_order_session_ip_mismatch")
 
 

@@ -153,11 +153,12 @@ def ip_footprint(sessions: DataFrame, shop: str = "shop_id", ip: str = "ip_addre
 def session_ip_mismatch(
     orders: DataFrame, sessions: DataFrame, key: str, order_ts: str, session_ts: str, within: str,
     order_ip: str = "order_ip", session_ip: str = "ip_address", tie: str = "session_id",
+    piece: str = "day",
 ) -> DataFrame:
     """Compare each order's address with the latest session at most ``within`` earlier."""
     seen = as_of_join(
         orders, sessions.withColumns({"_seen": F.col(session_ts), "_ip": F.col(session_ip)}),
-        key, order_ts, session_ts, ["_seen", "_ip"], tie=tie,
+        key, order_ts, session_ts, ["_seen", "_ip"], tie=tie, piece=piece,
     )
     recent = F.col("_seen") >= F.col(order_ts) - F.expr(f"interval {within}")
     return (

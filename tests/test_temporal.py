@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martwright.functions import as_of_day
-from martwright.operators.temporal import Rolling, as_of_join, rolling_as_of, rolling_per_event, with_neighbors
+from martwright.operators.temporal import Rolling, as_of_join, piece_for, rolling_as_of, rolling_per_event, with_neighbors
 
 START = dt.datetime(2026, 1, 1)
 
@@ -90,3 +90,8 @@ def test_rolling_window_bounds(table):
     assert {tuple(r) for r in rolling_as_of(df, ["k"], "ts", day, specs).collect()} == {(1, 6, 14)}
     closed = rolling_as_of(df, ["k"], "ts", day, specs[:1], prune=False)
     assert {tuple(r) for r in closed.collect()} == {(1, 6), (2, None)}
+
+
+def test_piece_follows_the_row_count():
+    assert [piece_for(n, 2400) for n in (15_000, 10**9, 10**10, 10**11, 10**13)] == ["year", "month", "day", "hour", "minute"]
+    assert piece_for(10**4, 30) == "year"

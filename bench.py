@@ -19,10 +19,9 @@ from martwright.session import build_session
 
 HEADLINE = (
     "consolidated_merchant_mart", "five_visual_merge", "checkout_routing_mart", "checkout_routing_history",
-    "merchant_360_mart", "settlement_mart", "billing_activation_mart", "settlement_triage", "gateway_normalized",
-    "merchant_daily_metrics", "plan_neighbors", "first_instrument_attempt", "ledger_as_of_request",
-    "settlement_anchored_gmv", "rolling_per_event_value", "buyer_history", "tracking_reuse", "multi_store_rate",
-    "account_linkage_signal", "session_ip_mismatch", "buyer_cancel_rate", "merged_adjustments",
+    "merchant_360_mart", "settlement_mart", "billing_activation_mart", "gateway_normalized", "plan_neighbors",
+    "first_instrument_attempt", "ledger_as_of_request", "settlement_anchored_gmv", "buyer_history", "tracking_reuse",
+    "session_ip_mismatch", "merged_adjustments",
 )
 
 

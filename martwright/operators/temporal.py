@@ -25,7 +25,7 @@ def _last_first(name: str) -> Column:
 UNITS = (("year", 365.0), ("month", 30.0), ("week", 7.0), ("day", 1.0), ("hour", 1 / 24), ("minute", 1 / 1440))
 
 
-def piece_for(rows: int, days: float, most: int = 5_000_000, share: float = 1 / 3) -> str:
+def piece_for(rows: int, days: float, most: int = 200_000, share: float = 1 / 3) -> str:
     """The coarsest unit whose pieces stay below ``most`` rows for a key with ``share`` of all rows.
 
     Finer pieces than needed cost a larger summary, coarser ones a longer task.

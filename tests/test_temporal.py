@@ -93,5 +93,6 @@ def test_rolling_window_bounds(table):
 
 
 def test_piece_follows_the_row_count():
-    assert [piece_for(n, 2400) for n in (15_000, 10**9, 10**10, 10**11, 10**13)] == ["year", "month", "day", "hour", "minute"]
+    sizes = (15_000, 10**7, 10**8, 10**9, 10**10, 10**12)
+    assert [piece_for(n, 2400) for n in sizes] == ["year", "month", "week", "day", "hour", "minute"]
     assert piece_for(10**4, 30) == "year"

@@ -31,6 +31,12 @@ def run_once(spark, query, folder: str) -> float:
     return time.perf_counter() - start
 
 
+def plan_size(spark, query, folder: str) -> dict[str, int]:
+    """File scans and shuffles of the plan before adaptive changes."""
+    plan = query(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    return {"scans": plan.count("FileScan"), "shuffles": plan.count("Exchange hashpartitioning")}
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -56,6 +62,7 @@ def main() -> None:
         "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
         "merchants_per_sec": round(shops / mart, 1),
         "single_pass_speedup": round(seconds["five_visual_merge"] / mart, 2),
+        "plans": {n: plan_size(spark, registered[n], folder) for n in ("consolidated_merchant_mart", "five_visual_merge")},
     }))
     spark.stop()
 

@@ -35,7 +35,57 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIG
 FROM d LEFT JOIN hit USING (r) LEFT JOIN item USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_decontamination": OP2}
+_MARKS = r"regexp_replace(TEXT, '<(\\*)\|', '<\\\1|', 'g')"
+_LINE = r"replace(replace(role, '\', '\\'), chr(10), '\n')"
+
+OP1 = f"""
+WITH c AS (
+  SELECT conv_id, turn, role AS r, text AS t, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+  )
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST))
+    AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|im_start|>' || {_MARKS.replace('TEXT', _LINE)} || chr(10) || {_MARKS.replace('TEXT', 'text')}
+    || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+OP5 = f"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.replace('TEXT', 'text')} AS w FROM documents),
+s AS (
+  SELECT DISTINCT r, list_slice(w, i, i + 4) AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+sig AS (SELECT r, string_agg(md5(g::VARCHAR), '' ORDER BY md5(g::VARCHAR)) AS sig FROM s GROUP BY r),
+cls AS (SELECT sig, min(r) AS c, count(*) AS copies FROM sig GROUP BY sig),
+rows AS (SELECT r, doc_id, c, copies FROM w LEFT JOIN sig USING (r) LEFT JOIN cls USING (sig)),
+common AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS k FROM (SELECT * FROM s WHERE r IN (SELECT c FROM cls)) a
+  JOIN (SELECT * FROM s WHERE r IN (SELECT c FROM cls)) b ON a.g = b.g AND a.r < b.r GROUP BY 1, 2
+),
+pair AS (
+  SELECT a, b FROM common JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 5 * k >= 4 * (x.n + y.n - k)
+),
+mutual AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+links AS (SELECT a AS c, sum(copies) AS links FROM mutual JOIN cls ON cls.c = b GROUP BY 1),
+reach AS (SELECT c AS a, c AS b FROM cls UNION SELECT reach.a, mutual.b FROM reach JOIN mutual ON mutual.a = reach.b),
+least AS (SELECT c, min(doc_id) AS low FROM rows WHERE c IS NOT NULL GROUP BY c),
+comp AS (SELECT reach.a AS c, min(low) AS class_id FROM reach JOIN least ON least.c = reach.b GROUP BY 1)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id,
+  CAST(coalesce(copies - 1, 0) + coalesce(links, 0) AS BIGINT) AS n_links,
+  CAST(coalesce(copies, 1) AS BIGINT) AS n_copies
+FROM rows LEFT JOIN links USING (c) LEFT JOIN comp USING (c)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5}
 
 
 def oracle_sql() -> dict[str, str]:

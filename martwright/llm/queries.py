@@ -11,6 +11,7 @@ from .chat_format import format_conversations, read_back
 from .decontaminate import find_contamination, items_digest
 from .jaccard_join import jaccard_join
 from .packing import pack
+from .suffix_dedup import repeated_passages
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,11 +61,17 @@ def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(_table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All passages of 50 words or more that stand in two documents."""
+    return repeated_passages(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
     "op4_packing": op4_packing,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_suffix_dedup": op6_suffix_dedup,
 }
 
 

@@ -85,7 +85,23 @@ SELECT doc_id, coalesce(class_id, doc_id) AS class_id,
 FROM rows LEFT JOIN links USING (c) LEFT JOIN comp USING (c)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5}
+OP6 = f"""
+WITH w AS (SELECT doc_id, {_WORDS.replace('TEXT', 'text')} AS w FROM documents),
+g AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i + 1, i + 50), ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS i FROM w WHERE len(w) >= 50)
+),
+twice AS (SELECT g, min(doc_id) AS low FROM g GROUP BY g HAVING count(DISTINCT doc_id) > 1),
+hit AS (SELECT DISTINCT doc_id, i, low FROM g JOIN twice USING (g)),
+step AS (
+  SELECT *, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 1 ELSE 0 END AS new FROM hit
+),
+run AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM step)
+SELECT doc_id, CAST(min(i) AS INTEGER) AS first_word, CAST(max(i) + 50 AS INTEGER) AS end_word, min(low) AS first_doc_id
+FROM run GROUP BY doc_id, k
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5, "op6_suffix_dedup": OP6}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -41,7 +41,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _UNBASE = pow(_BASE, -1, 1 << 64)
 
 
-class _Powers:
+class Powers:
     """Powers of the hash base and of its inverse modulo 2**64, made longer on demand."""
 
     up = np.ones(1, np.uint64)
@@ -76,7 +76,7 @@ class Words:
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
         n = len(self.stream)
-        up, down = _Powers.get(n + 1)
+        up, down = Powers.get(n + 1)
         total = np.empty(n + 1, np.uint64)
         total[0] = 0
         np.cumsum(_BYTE_CODE[self.stream] * up[:n], out=total[1:])

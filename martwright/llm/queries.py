@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .chat_format import format_conversations, read_back
 from .decontaminate import find_contamination, items_digest
 from .jaccard_join import jaccard_join
+from . import language_id
 from .packing import pack
 from .suffix_dedup import repeated_passages
 
@@ -66,12 +67,21 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(_table(spark, folder, "documents"))
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of all documents, learned from those that are not held out."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", language_id.held_out(F.col("doc_id")))
+    net = language_id.fit(docs.filter(~F.col("held_out")))
+    return language_id.identify(docs, net, keep=["doc_id", "held_out"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
     "op4_packing": op4_packing,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op8_language_id": op8_language_id,
 }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .chat_format import format_conversations, read_back
 from .decontaminate import find_contamination, items_digest
 from .jaccard_join import jaccard_join
-from . import language_id
+from . import language_id, toxicity
 from .packing import pack
 from .suffix_dedup import repeated_passages
 
@@ -75,6 +75,19 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs, net, keep=["doc_id", "held_out"])
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of all documents, learned from the labels of those that are not held out."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
@@ -82,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op8_language_id": op8_language_id,
+    "op9_toxicity": op9_toxicity,
 }
 
 

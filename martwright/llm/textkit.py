@@ -35,8 +35,8 @@ def odd_numbers(n: int, seed: int, bits: int = 64) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << bits, n, dtype=kind) | kind(1)
 
 
-_BYTE_CODE = odd_numbers(256, 11)
-_BYTE_CODE[SPACE] = 0
+BYTE_CODE = odd_numbers(256, 11)
+BYTE_CODE[SPACE] = 0
 _BASE = 0x9E3779B97F4A7C15 | 1
 _UNBASE = pow(_BASE, -1, 1 << 64)
 
@@ -79,7 +79,7 @@ class Words:
         up, down = Powers.get(n + 1)
         total = np.empty(n + 1, np.uint64)
         total[0] = 0
-        np.cumsum(_BYTE_CODE[self.stream] * up[:n], out=total[1:])
+        np.cumsum(BYTE_CODE[self.stream] * up[:n], out=total[1:])
         return mix((total[self.end] - total[self.start]) * down[self.start])
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .chat_format import format_conversations, read_back
 from .decontaminate import find_contamination, items_digest
 from .jaccard_join import jaccard_join
-from . import language_id, toxicity
+from . import language_id, quality_gam, toxicity
 from .packing import pack
 from .suffix_dedup import repeated_passages
 
@@ -88,12 +88,24 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of all documents, learned from the labels of those that are not held out."""
+    scored = quality_gam.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id",
+        quality_gam.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
     "op4_packing": op4_packing,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
 }

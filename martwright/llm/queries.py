@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .chat_format import format_conversations, read_back
 from .decontaminate import find_contamination, items_digest
 from .jaccard_join import jaccard_join
-from . import language_id, quality_gam, toxicity
+from . import language_id, quality_gam, quality_rules, toxicity
 from .packing import pack
 from .suffix_dedup import repeated_passages
 
@@ -99,6 +99,14 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule counts of all documents, and the verdict of base rules and robust outliers."""
+    judged = quality_rules.judge(_table(spark, folder, "documents"), keep=["doc_id"])
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
@@ -108,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 

@@ -11,6 +11,7 @@ from .chat_format import format_conversations, read_back
 from .decontaminate import find_contamination, items_digest
 from .jaccard_join import jaccard_join
 from . import language_id, quality_gam, quality_rules, toxicity
+from .pii import KINDS, find_pii, spans_text
 from .packing import pack
 from .suffix_dedup import repeated_passages
 
@@ -107,9 +108,24 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = find_pii(docs, keep=["doc_id"])
+    kinds = F.col("base_spans.kind")
+    counts = {k: (F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long") for k in KINDS}
+    return found.select(
+        "doc_id",
+        *(c.alias(f"n_{k}") for k, c in counts.items()),
+        F.sha2(spans_text(F.col("base_spans")), 256).alias("base_sha256"),
+        spans_text(F.concat("base_spans", "added_spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
+    "op3_pii": op3_pii,
     "op4_packing": op4_packing,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_suffix_dedup": op6_suffix_dedup,

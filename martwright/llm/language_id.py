@@ -206,7 +206,7 @@ def _predict(net: Network):
             k = len(net.languages)
             total, plain = np.zeros((k, x.shape[1])), np.zeros(x.shape[1])
             # A very long text has many windows: they go through in stretches, each window from zero state as always.
-            for low in range(0, x.shape[1], 4096):
+            for low in range(0, x.shape[1] if k else 0, 4096):
                 part = x[:, low : low + 4096]
                 mask = _LETTER[part]
                 total[:, low : low + 4096] = np.einsum("tkb,tb->kb", net.probabilities(part), mask)
@@ -215,7 +215,7 @@ def _predict(net: Network):
             sums = edges[:, first[1:]] - edges[:, first[:-1]]
             letters = np.concatenate([[0], np.cumsum(plain)])
             letters = letters[first[1:]] - letters[first[:-1]]
-            mean = sums / np.maximum(sums.sum(axis=0), 1e-9)
+            mean = sums / np.maximum(sums.sum(axis=0), 1e-9) if k else sums
             best = mean.argmax(axis=0) if k else np.zeros(j - i, np.int64)
             for d in range(j - i):
                 at = slice(int(offsets[i + d]), int(offsets[i + d + 1]))

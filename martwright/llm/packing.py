@@ -64,7 +64,7 @@ def document_keys(words: Words) -> np.ndarray:
     h = words.hashes()
     slot = words.doc * HASHED + (h & np.uint64(HASHED - 1)).astype(np.int64)
     sign = np.where(h >> np.uint64(63), 1.0, -1.0)
-    vectors = np.bincount(slot, weights=sign, minlength=n * HASHED).reshape(n, HASHED)
+    vectors = np.bincount(slot, weights=sign, minlength=n * HASHED).astype(float).reshape(n, HASHED)
     vectors /= np.maximum(np.sqrt((vectors**2).sum(axis=1, keepdims=True)), 1e-9)
     spread = 1 / (1 + np.exp(-1.702 * (vectors @ _PROJECTION)))
     return hilbert_key(np.minimum(spread * (1 << BITS), (1 << BITS) - 1), BITS)

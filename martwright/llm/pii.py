@@ -6,7 +6,8 @@ is an *instance* of that pattern. Patterns and instances form a graph, which Spa
 
 * a pattern's confidence for a kind is the summed score of its distinct instances for that kind, divided by their number
   plus one (rejected base matches, such as card numbers with a wrong check digit, score 0 for good);
-* an instance that is no seed scores the mean confidence of its patterns.
+* an instance that is no seed scores, for one pattern, the mean confidence of its other patterns: those that end in
+  another word, so that no pattern speaks for itself.
 
 Patterns of high confidence with several seeds are accepted, and a last pass marks the identifiers that follow them.
 Base spans always stay as they are.
@@ -164,21 +165,24 @@ def learn_patterns(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) ->
     others = edges.filter("state is null").select("pattern", "instance")
     share = F.col("seeds") / (F.col("size") + 1)
     confidence = known.select("pattern", "kind", "seeds", "size", share.alias("confidence"))
-    per_instance = others.groupBy("instance").agg(F.count(F.lit(1)).alias("patterns"))
+    # Patterns with one last word see the same places, so they are one family and say one thing about an instance.
+    others = others.withColumn("family", F.substring_index("pattern", " ", -1))
+    families = others.groupBy("instance").agg(F.count_distinct("family").alias("families")).filter("families > 1")
+    others = stage(attach(others, families, "instance", "inner"), "pii-instances")
     for _ in range(rounds):
         confidence = stage(confidence, "pii-scores")
-        # An instance's score for a kind is the mean over all of its patterns; those without that kind count 0.
-        scores = (
+        said = (
             attach(others, confidence.select("pattern", "kind", "confidence"), "pattern", "inner")
-            .groupBy("instance", "kind")
-            .agg(F.sum("confidence").alias("c"))
-            .join(per_instance, "instance")
-            .select("instance", "kind", (F.col("c") / F.col("patterns")).alias("score"))
+            .groupBy("instance", "kind", "family")
+            .agg(F.max("confidence").alias("own"))
         )
+        total = said.groupBy("instance", "kind").agg(F.sum("own").alias("total"))
+        # To a pattern, an instance is worth what the other families say of it; families without that kind count 0.
         gained = (
-            attach(others, scores, "instance", "inner")
+            attach(others, total, "instance", "inner")
+            .join(said, ["instance", "kind", "family"], "left")
             .groupBy("pattern", "kind")
-            .agg(F.sum("score").alias("gained"))
+            .agg(F.sum((F.col("total") - F.coalesce("own", F.lit(0.0))) / (F.col("families") - 1)).alias("gained"))
         )
         confidence = known.join(gained, ["pattern", "kind"], "left").select(
             "pattern",

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField
+from pyspark.sql.types import BinaryType, DoubleType, StructField
 
 from .textkit import BYTE_CODE, Powers, Words, add_columns, mix, slices, text_buffers, words_of
 
@@ -91,10 +91,7 @@ def _sentence_swaps(text: str) -> list[tuple[list[int], list[float]]]:
 
 def _training_rows(column: pa.Array) -> dict[str, pa.Array]:
     data, offsets, nulls = text_buffers(column)
-    features: list[list[int]] = []
-    values: list[list[float]] = []
-    swaps: list[list[int]] = []
-    changes: list[list[float]] = []
+    made: dict[str, list[bytes]] = {"features": [], "weights": [], "swaps": [], "changes": []}
     for i, j in slices(offsets):
         words = words_of(data, offsets[i : j + 1])
         at, feature = _hash_words(words)
@@ -103,19 +100,25 @@ def _training_rows(column: pa.Array) -> dict[str, pa.Array]:
         weight = np.log1p(n)
         for d in range(j - i):
             low, high = edges[d], edges[d + 1]
-            features.append(feature[low:high].tolist())
-            values.append(weight[low:high].tolist())
             text = "" if nulls[i + d] else data[offsets[i + d] : offsets[i + d + 1]].tobytes().decode()
-            made = sorted({(tuple(f), tuple(c)) for f, c in _sentence_swaps(text)})
+            pairs = sorted({(tuple(f), tuple(c)) for f, c in _sentence_swaps(text)})
             # Swaps are laid end to end; -1 ends each.
-            swaps.append([x for f, _ in made for x in (*f, -1)])
-            changes.append([x for _, c in made for x in (*c, 0.0)])
-    return {
-        "features": pa.array(features, pa.list_(pa.int32())),
-        "weights": pa.array(values, pa.list_(pa.float32())),
-        "swaps": pa.array(swaps, pa.list_(pa.int32())),
-        "changes": pa.array(changes, pa.list_(pa.float32())),
-    }
+            made["features"].append(feature[low:high].astype("<i4").tobytes())
+            made["weights"].append(weight[low:high].astype("<f4").tobytes())
+            made["swaps"].append(np.array([x for f, _ in pairs for x in (*f, -1)], "<i4").tobytes())
+            made["changes"].append(np.array([x for _, c in pairs for x in (*c, 0.0)], "<f4").tobytes())
+    return {name: pa.array(parts, pa.binary()) for name, parts in made.items()}
+
+
+def unpack(label: int, features: bytes, weights: bytes, swaps: bytes, changes: bytes) -> tuple:
+    """A training row for :func:`fit_rows` from what a task has made of a document."""
+    return (
+        label,
+        np.frombuffer(features, "<i4"),
+        np.frombuffer(weights, "<f4"),
+        np.frombuffer(swaps, "<i4"),
+        np.frombuffer(changes, "<f4"),
+    )
 
 
 @dataclass
@@ -135,16 +138,16 @@ class Model:
 
 
 def fit_rows(rows: Sequence[tuple], fairness: float = FAIRNESS, seed: int = 1) -> Model:
-    """``rows``: (label, features, weights, swaps, changes). Without two classes, scores are the share of ones."""
+    """``rows``: (label, features, weights, swaps, changes) as arrays. Without two classes, scores are the share of ones."""
     slot = np.full(1 << SPACE_BITS, -1, np.int32)
     label = np.array([r[0] for r in rows], np.float64)
     if not len(rows) or label.min() == label.max():
         share = float(np.clip(label.mean() if len(rows) else 0.0, 0.01, 0.99))
         return Model(slot, np.zeros(0), float(np.log(share / (1 - share))))
     sizes = np.array([len(r[1]) for r in rows])
-    row = np.repeat(np.arange(len(rows)), sizes)
-    column = np.concatenate([np.asarray(r[1], np.int64) for r in rows])
-    value = np.concatenate([np.asarray(r[2], np.float64) for r in rows])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    column = np.concatenate([r[1] for r in rows])
+    value = np.concatenate([r[2] for r in rows])
     # Telling features: the mean differs most between the classes, measured in standard deviations.
     width = 1 << SPACE_BITS
     n = np.bincount(column, minlength=width)
@@ -185,7 +188,7 @@ def fit_rows(rows: Sequence[tuple], fairness: float = FAIRNESS, seed: int = 1) -
 def _swap_matrix(rows: Sequence[tuple], slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at, column, value, n = [], [], [], 0
     for r in rows:
-        for feature, change in zip(r[3], r[4], strict=True):
+        for feature, change in zip(r[3].tolist(), r[4].tolist(), strict=True):
             if feature < 0:
                 n += 1
             elif slot[feature] >= 0:
@@ -212,16 +215,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, doc_id: str
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", limit: int = SAMPLE) -> Model:
     """Train on at most ``limit`` labelled documents that are not held out."""
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    fields = [
-        StructField("features", ArrayType(IntegerType())),
-        StructField("weights", ArrayType(FloatType())),
-        StructField("swaps", ArrayType(IntegerType())),
-        StructField("changes", ArrayType(FloatType())),
-    ]
+    fields = [StructField(name, BinaryType()) for name in ("features", "weights", "swaps", "changes")]
     sample = training_sample(plain, labels, label, limit=limit)
-    rows = add_columns(sample, "text", fields, _training_rows, ["doc_id", "label"]).collect()
-    rows = sorted(tuple(r) for r in rows)
-    return fit_rows([r[1:] for r in rows])
+    made = add_columns(sample, "text", fields, _training_rows, ["doc_id", "label"])
+    plain = lambda v: bytes(v) if isinstance(v, bytearray) else v
+    rows = sorted(tuple(plain(v) for v in r) for r in made.toLocalIterator())
+    return fit_rows([unpack(*r[1:]) for r in rows])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:

@@ -104,8 +104,8 @@ def test_swapped_names_change_nothing():
     texts = [f"{prose()}. those women are awful {prose()}." for _ in range(60)] + [f"{prose()}. nice {prose()}." for _ in range(60)]
     made = toxicity._training_rows(pa.array(texts))
     parts = [made[k].to_pylist() for k in ("features", "weights", "swaps", "changes")]
-    rows = [(int(k < 60), *r) for k, r in enumerate(zip(*parts, strict=True))]
-    assert all(r[3] for r in rows[:60])
+    rows = [toxicity.unpack(int(k < 60), *r) for k, r in enumerate(zip(*parts, strict=True))]
+    assert all(len(r[3]) for r in rows[:60])
     free, fair = toxicity.fit_rows(rows, fairness=0.0), toxicity.fit_rows(rows, fairness=20.0)
     assert swap_gap(fair) < 0.3 * swap_gap(free)
     score = lambda t: fair.score(toxicity.words_of(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)])))[0]

@@ -260,6 +260,14 @@ SELECT merchant_id, max(store_segment) AS segment, CAST(sum(total_order_count) A
     "x_ledger": """
 SELECT settlement_id, merchant_id, requested, coalesce(available, 0) - requested - hold - coalesce(held, 0) AS left_over
 FROM (SELECT *, sum(requested) OVER (PARTITION BY merchant_id) AS hold FROM x_pending) LEFT JOIN x_balance USING (merchant_id)""",
+    "x_ledger_self": "SELECT * REPLACE (left_over + requested AS left_over) FROM x_ledger",
+    "x_snapshot": """
+SELECT merchant_id, made_at, CAST(arg_max(requested, settlement_id) * 40 AS DECIMAL(18,2)) AS available,
+  arg_max(reserve, settlement_id) AS held FROM x_request WHERE status = 'F' GROUP BY 1, 2""",
+    "x_ledger_then": """
+SELECT settlement_id, p.merchant_id, requested, coalesce(available, 0) - requested - hold - coalesce(held, 0) AS left_over
+FROM (SELECT *, sum(requested) OVER (PARTITION BY merchant_id) AS hold FROM x_pending) p
+ASOF LEFT JOIN x_snapshot s ON s.merchant_id = p.merchant_id AND s.made_at <= p.made_at""",
     "x_invoice": f"""
 SELECT o_orderkey AS invoice_id, CAST(c_nationkey AS BIGINT) + 10000000 AS merchant_id, o_orderdate AS made_at, o_orderstatus AS status,
   {_money('o_totalprice', 255000)} AS amount, lower(o_orderpriority) AS plan_type, o_totalprice < 2000 AS is_test
@@ -533,6 +541,11 @@ FROM x_order JOIN x_buyer_total ON buyer = lower(buyer_email)""",
     "card_features": """
 SELECT strftime(o_orderdate, '%m%d') || left(o_orderpriority, 1) AS card_token, count(DISTINCT o_custkey) AS count_customer_by_card,
   count(*) / count(DISTINCT CAST(o_orderdate AS DATE)) AS avg_payment_intent_by_card_per_day FROM orders GROUP BY 1""",
+    "order_card_features": """
+SELECT o_orderkey AS order_id, n AS count_customer_by_card, intents AS avg_payment_intent_by_card_per_day
+FROM (SELECT *, strftime(o_orderdate, '%m%d') || left(o_orderpriority, 1) AS card FROM orders) JOIN (
+  SELECT strftime(o_orderdate, '%m%d') || left(o_orderpriority, 1) AS card, count(DISTINCT o_custkey) AS n,
+    count(*) / count(DISTINCT CAST(o_orderdate AS DATE)) AS intents FROM orders GROUP BY 1) USING (card)""",
     "tracking_reuse": "SELECT order_id, tracking_number, sharing AS distinct_customers_same_tracking FROM x_parcel_shared",
     "geo_features": f"""
 SELECT order_id, {_MATCH.format('ship', 'net', 'shipping_match_ip_country')}, {_MATCH.format('ship', 'card', 'shipping_match_card_country')},
@@ -566,7 +579,7 @@ FROM (SELECT *, '10.0.0.' || {_K} AS ip FROM events WHERE event_type = 'purchase
 ASOF LEFT JOIN (SELECT user_id, ts, arg_max('10.0.0.' || {_K}, event_id) AS ip FROM events
   WHERE event_type IN ('view', 'click') GROUP BY 1, 2) s ON s.user_id = p.user_id AND s.ts <= p.ts""",
     "id_pages": """
-SELECT page_no, string_agg(CAST(c_custkey AS VARCHAR), ', ' ORDER BY c_custkey) AS id_text, count(*) AS id_count FROM x_console GROUP BY 1""",
+SELECT page_no, 1 AS page_part, string_agg(CAST(c_custkey AS VARCHAR), ', ' ORDER BY c_custkey) AS id_text, count(*) AS id_count FROM x_console GROUP BY 1""",
     "filter_by_ids": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (SELECT c_custkey FROM x_console WHERE c_acctbal < 0)""",
     "merged_adjustments": f"""
@@ -586,6 +599,11 @@ SELECT round(v, 4) AS base_ms, round(c, 4) AS other_ms, round(v / c, 4) AS speed
 FROM (SELECT max(mean_ms) FILTER (event_type = 'view') AS v, max(mean_ms) FILTER (event_type = 'click') AS c FROM x_timing)""",
 }
 
+_QUERIES["settlement_mart_as_of"] = _QUERIES["settlement_mart"].replace("x_ledger ", "x_ledger_then ")
+_QUERIES["settlement_mart_exclude_self"] = _QUERIES["settlement_mart"].replace("x_ledger ", "x_ledger_self ")
+_QUERIES["mart_sink"] = _QUERIES["consolidated_merchant_mart"]
+_QUERIES["run_metrics_sink"] = _QUERIES["run_statistics"]
+
 # Reachability over shared instruments, for the account groups.
 _ROLES["x_reach"] = """
 SELECT account_id, account_id AS reached FROM x_star

@@ -6,7 +6,6 @@ Each callable takes (spark, folder) and reads whole tables.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -19,10 +18,10 @@ from ..functions import as_of_day, days_between, map_code, pair, pct_text, regex
 from ..operators import features, gateways, linkage, metrics, registry
 from ..operators.adjustments import apply_adjustments
 from ..operators.joins import filter_ids, id_list, with_config
-from ..operators.temporal import as_of_join, piece_for, rolling_per_event
+from ..operators.temporal import as_of_join, rolling_per_event, time_bounds
 from ..plans import billing, checkout, consolidated, merchant360, settlement, triage
 from ..session import shared_dir
-from ..sources.files import read_csv, write_csv
+from ..sources.files import read_csv, write_csv, write_mart, write_run_metrics
 from ..sources.sample_star import EVENT_K, EVENTS_AS_OF, ORDERS_AS_OF, PENDING, SampleStar, cents, money, scaled
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,18 +49,6 @@ def _report(df: DataFrame) -> DataFrame:
     })
 
 
-ORDER_DAYS, EVENT_DAYS = 2400, 30  # time spans of the sample tables
-
-
-def _order_piece(star: SampleStar) -> str:
-    """The piece of an order time line; the row count comes from the file footers."""
-    return piece_for(star.raw("orders").count(), ORDER_DAYS)
-
-
-def _event_piece(star: SampleStar) -> str:
-    return piece_for(star.raw("events").count(), EVENT_DAYS)
-
-
 def queries() -> dict[str, Query]:
     def bind(build: Callable[[SampleStar], DataFrame]) -> Query:
         return lambda spark, folder: _report(build(SampleStar(spark, folder)))
@@ -130,7 +117,7 @@ class _WithFeatures(SampleStar):
 def _evaluated(star: SampleStar) -> DataFrame:
     full = _WithFeatures(star.spark, star.folder)
     return checkout.evaluated_orders(
-        checkout.prepared_orders(full, CHECKOUT_HISTORY, ORDERS_AS_OF), CHECKOUT_HISTORY
+        checkout.prepared_orders(full, CHECKOUT_HISTORY, ORDERS_AS_OF, code_lists=False, store_domain=False), CHECKOUT_HISTORY
     )
 
 
@@ -239,6 +226,16 @@ def settlement_mart(star: SampleStar) -> DataFrame:
     return settlement.settlement_reconciliation(star, SETTLEMENT, ORDERS_AS_OF)
 
 
+@_register
+def settlement_mart_as_of(star: SampleStar) -> DataFrame:
+    return settlement.settlement_reconciliation(star, SETTLEMENT, ORDERS_AS_OF, balances_as_of_request=True)
+
+
+@_register
+def settlement_mart_exclude_self(star: SampleStar) -> DataFrame:
+    return settlement.settlement_reconciliation(star, SETTLEMENT, ORDERS_AS_OF, exclude_self=True)
+
+
 @_register
 def shipment_flags(star: SampleStar) -> DataFrame:
     return settlement.reconciled_orders(
@@ -293,7 +290,7 @@ def billing_activation_mart(star: SampleStar) -> DataFrame:
 
 @_register
 def plan_neighbors(star: SampleStar) -> DataFrame:
-    return billing.plan_sequence(star["fact_subscription_invoice"], _order_piece(star)).select(
+    return billing.plan_sequence(star["fact_subscription_invoice"]).select(
         "invoice_id", "previous_plan_type", "subsequent_plan_type"
     )
 
@@ -431,7 +428,7 @@ def rolling_per_event_value(star: SampleStar) -> DataFrame:
     purchases = events.filter("event_type = 'purchase'")
     return rolling_per_event(
         purchases, events, "event_id", "user_id", "ts", "ts", 3,
-        {"amount_3d": F.col("amount"), "events_3d": F.lit(1).cast("bigint")}, piece=_event_piece(star),
+        {"amount_3d": F.col("amount"), "events_3d": F.lit(1).cast("bigint")}, bounds=time_bounds(purchases, "ts"),
     )
 
 
@@ -447,7 +444,7 @@ def ledger_as_of_request(star: SampleStar) -> DataFrame:
     )
     return as_of_join(
         pending, snapshots, "merchant_id", "settlement_requested_at", "recorded_at",
-        ["balance_at", "available_balance"], tie="snapshot_id", piece=_order_piece(star),
+        ["balance_at", "available_balance"], tie="snapshot_id",
     )
 
 
@@ -458,11 +455,12 @@ def settlement_anchored_gmv(star: SampleStar) -> DataFrame:
     sales = requests.join(disputed, "settlement_id", "left").select(
         "merchant_id", "created_at", F.col("requested_amount").alias("gmv"), zero_if_null("_disputed").alias("disputed")
     )
+    pending = settlement.pending_requests(requests, SETTLEMENT)
     windows = rolling_per_event(
-        settlement.pending_requests(requests, SETTLEMENT), sales, "settlement_id", "merchant_id", "settlement_requested_at",
+        pending, sales, "settlement_id", "merchant_id", "settlement_requested_at",
         "created_at", 3,
         {"gmv_3d": F.col("gmv"), "orders_3d": F.lit(1).cast("bigint"), "disputed_3d": F.col("disputed").cast("bigint")},
-        piece=_order_piece(star),
+        bounds=time_bounds(pending, "settlement_requested_at"),
     )
     return windows.withColumn("dispute_rate_3d", safe_div("disputed_3d", "orders_3d"))
 
@@ -489,8 +487,16 @@ def card_features(star: SampleStar) -> DataFrame:
     return features.card_features(_card_orders(star))
 
 
+@_register
+def order_card_features(star: SampleStar) -> DataFrame:
+    return features.order_card_features(_card_orders(star).filter("order_id is not null")).select(
+        "order_id", "count_customer_by_card", "avg_payment_intent_by_card_per_day"
+    )
+
+
 def _card_orders(star: SampleStar) -> DataFrame:
     return star.raw("orders").select(
+        F.col("o_orderkey").alias("order_id"),
         F.concat(F.date_format("o_orderdate", "MMdd"), F.substring("o_orderpriority", 1, 1)).alias("card_token"),
         F.col("o_custkey").alias("buyer_email"),
         F.col("o_orderdate").alias("order_created_at"),
@@ -587,7 +593,7 @@ def session_ip_mismatch(star: SampleStar) -> DataFrame:
         F.col("event_id").alias("session_id"), "user_id", F.col("ts").alias("seen_at"), F.col("ip").alias("ip_address")
     )
     return features.session_ip_mismatch(
-        purchases, sessions, "user_id", "ordered_at", "seen_at", "24 hours", piece=_event_piece(star)
+        purchases, sessions, "user_id", "ordered_at", "seen_at", "24 hours"
     ).select("order_id", "order_ip", "session_ip", "sig_order_session_ip_mismatch")
 
 
@@ -644,11 +650,27 @@ def sink_round_trip(star: SampleStar) -> DataFrame:
         F.lit(None).cast("double").alias("conversion_rate_3d"),
         "automated_reconciliation_status", "reconciliation_rule_summary",
     )
-    path = f"{shared_dir(star.spark)}/triage-{uuid.uuid4().hex}"
-    write_csv(rows, path)
+    path = f"{shared_dir(star.spark)}/triage"
+    write_csv(rows, path, mode="overwrite")
     return read_csv(star.spark, path, "settlement_signals").drop("merchant_id", "merchant_country", "conversion_rate_3d")
 
 
+@_register
+def mart_sink(star: SampleStar) -> DataFrame:
+    """The consolidated mart written as Parquet to the shared folder and read back."""
+    path = f"{shared_dir(star.spark)}/mart-sink"
+    write_mart(consolidated_merchant_mart(star), path, mode="overwrite")
+    return star.spark.read.parquet(path)
+
+
+@_register
+def run_metrics_sink(star: SampleStar) -> DataFrame:
+    """Run statistics written as JSON lines to the shared folder and read back."""
+    path, stats = f"{shared_dir(star.spark)}/run-metrics", run_statistics(star)
+    write_run_metrics(stats, path, mode="overwrite")
+    return star.spark.read.schema(stats.schema).json(path)
+
+
 @_register
 def run_statistics(star: SampleStar) -> DataFrame:
     timings = star.raw("events").select("event_type", "value", F.expr(EVENT_K).cast("int").alias("records"))

@@ -9,7 +9,7 @@ from .features import (
     geo_features,
     ip_footprint,
     merchant_daily_metrics,
-    multi_store_rate,
+    multi_store_rate, order_card_features,
     session_ip_mismatch,
     tracking_reuse,
 )
@@ -18,14 +18,14 @@ from .joins import attach, enrich, filter_ids, first_per_key, id_list, literal_r
 from .linkage import account_groups, link_entities, linkage_signal
 from .registry import restricted_destinations, restricted_merchants
 from .signals import Signal, add_codes, add_flags, code_string, first_match
-from .temporal import Rolling, as_of_join, piece_for, rolling_as_of, rolling_per_event, with_neighbors
+from .temporal import Rolling, as_of_join, rolling_as_of, rolling_per_event, time_bounds, with_neighbors
 
 __all__ = [
     "Gateway", "Rolling", "Signal", "account_groups", "add_codes", "add_flags", "apply_adjustments",
     "as_of_join", "attach", "buyer_history", "buyer_velocity", "card_features", "checkouts_with_code",
     "code_list_of", "code_string", "email_quality", "enrich", "filter_ids", "first_match", "first_per_key",
     "gateway_code_lists", "geo_features", "id_list", "ip_footprint", "link_entities", "linkage_signal",
-    "literal_rows", "lookup_text", "merchant_daily_metrics", "merge_on", "multi_store_rate",
-    "normalize_gateways", "piece_for", "restricted_destinations", "restricted_merchants", "rolling_as_of",
-    "rolling_per_event", "session_ip_mismatch", "tracking_reuse", "with_config", "with_neighbors",
+    "literal_rows", "lookup_text", "merchant_daily_metrics", "merge_on", "multi_store_rate", "order_card_features",
+    "normalize_gateways", "restricted_destinations", "restricted_merchants", "rolling_as_of",
+    "rolling_per_event", "time_bounds", "session_ip_mismatch", "tracking_reuse", "with_config", "with_neighbors",
 ]

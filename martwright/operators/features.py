@@ -56,18 +56,32 @@ def buyer_history(
 def card_features(
     orders: DataFrame, card: str = "card_token", customer: str = "buyer_email", ts: str = "order_created_at"
 ) -> DataFrame:
-    """Per card: customers that used it, and mean payment intents per active day."""
-    daily = (
-        orders.filter(F.col(card).isNotNull())
-        .groupBy(card, F.col(ts).cast("date").alias("_day"), customer)
-        .agg(F.count(F.lit(1)).alias("_intents"))
+    """Per card: customers that used it, and mean payment intents per active day.
+
+    Two chained groupings, by (card, customer) and by (card, day): each is aggregated map-side, and
+    no row is multiplied for a second distinct count.
+    """
+    known = orders.filter(F.col(card).isNotNull()).select(card, F.col(customer).alias("_by"), F.col(ts).cast("date").alias("_day"))
+    customers = known.filter("_by is not null").groupBy(card, "_by").agg(F.lit(1).alias("_one"))
+    customers = customers.groupBy(card).agg(F.count(F.lit(1)).alias("count_customer_by_card"))
+    days = known.groupBy(card, "_day").agg(F.count(F.lit(1)).alias("_intents"))
+    days = days.groupBy(card).agg(
+        safe_div(F.sum("_intents"), F.count("_day")).alias("avg_payment_intent_by_card_per_day")
     )
-    return daily.groupBy(card).agg(
-        F.count_distinct(customer).alias("count_customer_by_card"),
-        safe_div(F.sum("_intents"), F.count_distinct("_day")).alias("avg_payment_intent_by_card_per_day"),
+    return days.join(customers, card, "left").select(
+        card, F.coalesce("count_customer_by_card", F.lit(0)).cast("bigint").alias("count_customer_by_card"),
+        "avg_payment_intent_by_card_per_day",
     )
 
 
+def order_card_features(
+    orders: DataFrame, card: str = "card_token", customer: str = "buyer_email", ts: str = "order_created_at",
+    spread: int = 1,
+) -> DataFrame:
+    """Add the card features to each order; NULL for an order without a card."""
+    return attach(orders, card_features(orders, card, customer, ts), card, spread=spread)
+
+
 def tracking_reuse(
     shipments: DataFrame, tracking: str = "tracking_number", customer: str = "customer_id",
     name: str = "distinct_customers_same_tracking", spread: int = 1,
@@ -112,13 +126,14 @@ def email_quality(
 ) -> DataFrame:
     """Per shop: share of orders with a disposable and with a malformed buyer e-mail."""
     listed = disposable_domains.select(norm_key(disposable_domains.columns[0]).alias("_domain")).distinct()
+    listed = listed.withColumn("_listed", F.lit(True))
     mails = (
         orders.filter(F.col(email).isNotNull())
         .select(shop, email_domain(email).alias("_domain"), (~is_valid_email(email)).alias("_bad"))
         .groupBy(shop, "_domain")
         .agg(F.count(F.lit(1)).alias("_n"), F.count_if("_bad").alias("_bad"))
-        .join(listed.withColumn("_listed", F.lit(True)), "_domain", "left")
     )
+    mails = attach(mails, listed, "_domain")
     return mails.groupBy(shop).agg(
         safe_div(F.sum(F.when(F.col("_listed"), F.col("_n")).otherwise(0)), F.sum("_n")).alias("disposable_email_rate"),
         safe_div(F.sum("_bad"), F.sum("_n")).alias("invalid_email_rate"),
@@ -145,9 +160,12 @@ def multi_store_rate(
     )
 
 
-def ip_footprint(sessions: DataFrame, shop: str = "shop_id", ip: str = "ip_address") -> DataFrame:
-    """Per shop: distinct session addresses."""
-    return sessions.groupBy(shop).agg(F.count_distinct(ip).alias("unique_ip_location_count"))
+def ip_footprint(
+    sessions: DataFrame, shop: str = "shop_id", ip: str = "ip_address", relative_error: float | None = None
+) -> DataFrame:
+    """Per shop: distinct session addresses, exact unless a relative error is allowed."""
+    count = F.count_distinct(ip) if relative_error is None else F.approx_count_distinct(ip, relative_error)
+    return sessions.groupBy(shop).agg(count.alias("unique_ip_location_count"))
 
 
 def session_ip_mismatch(
@@ -155,10 +173,13 @@ def session_ip_mismatch(
     order_ip: str = "order_ip", session_ip: str = "ip_address", tie: str = "session_id",
     piece: str = "day",
 ) -> DataFrame:
-    """Compare each order's address with the latest session at most ``within`` earlier."""
+    """Compare each order's address with the latest session at most ``within`` earlier.
+
+    Sessions are read only in the pieces of time that some order of the same key reaches back to.
+    """
     seen = as_of_join(
         orders, sessions.withColumns({"_seen": F.col(session_ts), "_ip": F.col(session_ip)}),
-        key, order_ts, session_ts, ["_seen", "_ip"], tie=tie, piece=piece,
+        key, order_ts, session_ts, ["_seen", "_ip"], tie=tie, piece=piece, within=within,
     )
     recent = F.col("_seen") >= F.col(order_ts) - F.expr(f"interval {within}")
     return (
@@ -174,11 +195,12 @@ SOCIAL_SOURCES = ("facebook", "tiktok")
 
 
 def merchant_daily_metrics(
-    orders: DataFrame, events: DataFrame, as_of, shop: str = "shop_id", extra_days: int = 1
+    orders: DataFrame, events: DataFrame, as_of, shop: str = "shop_id", extra_days: int = 1, events_as_of=None
 ) -> DataFrame:
     """Windowed metrics per shop: one pass over orders and one over funnel events.
 
-    Both passes read only the last 30 days; the results are joined per shop.
+    Both passes read only the last 30 days; the results are joined per shop. ``events_as_of`` is the
+    events' own anchor day where their calendar differs.
     """
     day = as_of_day(as_of)
     source = F.lower(F.trim("order_traffic_source"))
@@ -199,7 +221,7 @@ def merchant_daily_metrics(
     sales = rolling_as_of(orders, [shop], "order_created_at", day, specs)
     viewed, bought = F.col("event_name") == "view", F.col("event_name") == "purchase"
     funnel = rolling_as_of(
-        events, [shop], "created_at", day,
+        events, [shop], "created_at", day if events_as_of is None else as_of_day(events_as_of),
         [
             *(window(f"_views_l{n}d", "count", F.when(viewed, 1), n) for n in (3, 7, 30)),
             *(window(f"_buys_l{n}d", "count", F.when(bought, 1), n) for n in (3, 7, 30)),
@@ -218,6 +240,6 @@ def merchant_daily_metrics(
 
 __all__ = [
     "buyer_history", "buyer_velocity", "card_features", "email_quality", "geo_features",
-    "ip_footprint", "match_text", "merchant_daily_metrics", "multi_store_rate",
+    "ip_footprint", "match_text", "merchant_daily_metrics", "multi_store_rate", "order_card_features",
     "session_ip_mismatch", "tracking_reuse",
 ]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import norm_key, repeated
+from .joins import attach
 
 
 @dataclass(frozen=True)
@@ -56,9 +57,10 @@ def gateway_code_lists(gateways: Mapping[str, Gateway], suffix: str = "_signals"
     """One row per checkout with one code-list column per gateway.
 
     The lists are built from the counted codes, so a checkout with very many retries brings one
-    row per code into its group.
+    row per code into its group. Responses without a checkout are left out: they belong to no
+    order, and their list would grow with the data.
     """
-    long = normalize_gateways(gateways)
+    long = normalize_gateways(gateways).filter(F.col("checkout_id").isNotNull())
     pieces, lists = {}, []
     for name, g in gateways.items():
         piece = F.col("signal_code") if g.distinct else repeated("signal_code", "hits", g.separator)
@@ -74,17 +76,17 @@ def code_list_of(gateway: Gateway, name: str) -> DataFrame:
     return gateway_code_lists({name: gateway})
 
 
-def checkouts_with_code(gateways: Mapping[str, Gateway], fragment: str) -> DataFrame:
+def checkouts_with_code(
+    gateways: Mapping[str, Gateway], fragment: str, among: DataFrame | None = None
+) -> DataFrame:
     """Checkouts that got at least one code containing ``fragment`` from any gateway.
 
     Only matching mapping rows take part, so most responses drop out in the join, before any
-    shuffle when the mapping is small.
+    shuffle when the mapping is small. ``among``, a table of checkout ids, cuts the responses to
+    those before they are made distinct.
     """
     wanted = _codes(gateways).filter(F.col("signal_code").contains(fragment)).select("gateway", "_key").distinct()
-    return (
-        _responses(gateways)
-        .filter(F.col("checkout_id").isNotNull())
-        .join(wanted, ["gateway", "_key"], "left_semi")
-        .select("checkout_id")
-        .distinct()
-    )
+    responses = _responses(gateways).filter(F.col("checkout_id").isNotNull())
+    if among is not None:
+        responses = responses.join(among.select("checkout_id"), "checkout_id", "left_semi")
+    return attach(responses, wanted, ["gateway", "_key"], "left_semi").select("checkout_id").distinct()

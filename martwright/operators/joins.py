@@ -128,15 +128,21 @@ def filter_ids(df: DataFrame, column: str, id_text: str | DataFrame) -> DataFram
 
 
 def id_list(
-    df: DataFrame, id_column: str, page: Sequence[str], order: Sequence[str], name: str = "id_text"
+    df: DataFrame, id_column: str, page: Sequence[str], order: Sequence[str], name: str = "id_text",
+    page_rows: int = 1000,
 ) -> DataFrame:
     """Comma-separated text of the numeric ids of each console page, in row order.
 
-    ``page`` says which page a row is on; a page is a screenful, and that bounds every text.
+    ``page`` says which page a row is on. A page of more than ``page_rows`` ids goes on in further
+    rows, numbered by ``page_part`` from 1, so no text grows with the data.
     """
     text = F.trim(F.col(id_column).cast("string"))
     number = text.try_cast("double")
     rows = df.select(*page, F.struct(*order, text.alias("_id")).alias("_row"), number.alias("_number"))
     rows = rows.filter(F.col("_number").isNotNull() & ~F.isnan("_number"))
+    place = F.row_number().over(Window.partitionBy(*page).orderBy("_row"))
+    rows = rows.withColumn("page_part", (F.floor((place - 1) / page_rows) + 1).cast("int"))
     items = F.transform(F.sort_array(F.collect_list("_row")), lambda row: row["_id"])
-    return rows.groupBy(*page).agg(F.array_join(items, ", ").alias(name), F.count("_row").alias("id_count"))
+    return rows.groupBy(*page, "page_part").agg(
+        F.array_join(items, ", ").alias(name), F.count("_row").alias("id_count")
+    )

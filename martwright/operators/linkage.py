@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import discard, written
 from .joins import attach
 
 
@@ -41,34 +41,45 @@ def linkage_signal(df: DataFrame, entity: str, attribute: str, value: str) -> Da
     )
 
 
-def account_groups(stars: DataFrame, entity: str, anchor: str = "anchor", max_rounds: int = 50) -> DataFrame:
+def account_groups(stars: DataFrame, entity: str, anchor: str = "anchor") -> DataFrame:
     """Connected components of the links: (entity, group_id = smallest member).
 
     Each round re-hangs every node's larger neighbours on its smallest known neighbour (large
-    star) and then its smaller ones (small star), until the edges are stars. Edge rows never
-    grow in number beyond the input's, and both steps aggregate map-side. Every round is
-    checkpointed, so a lost executor does not replay the rounds before it.
+    star) and then its smaller ones (small star), until a round changes nothing, which digests of
+    the links before and after it tell. Edge rows never grow in number beyond the input's, and
+    both steps aggregate map-side. Every round is written to the shared folder, so a lost executor
+    does not replay the rounds before it; the round before the last is then deleted.
     """
-    ensure_checkpoint_dir(stars.sparkSession)
-    node, low = "node", "low"
-    edges = stars.filter(F.col(entity) != F.col(anchor)).select(
-        F.greatest(entity, anchor).alias(node), F.least(entity, anchor).alias(low)
-    ).distinct().checkpoint()
-    for _ in range(max_rounds):
-        hung = _small_star(_large_star(edges)).checkpoint()
-        moved = hung.join(edges, [node, low], "left_anti").limit(1).count() or edges.join(
-            hung, [node, low], "left_anti"
-        ).limit(1).count()
-        edges = hung
-        if not moved:
+    spark = stars.sparkSession
+    edges, path = written(
+        stars.filter(F.col(entity) != F.col(anchor))
+        .select(F.greatest(entity, anchor).alias("node"), F.least(entity, anchor).alias("low"))
+        .distinct(),
+        "account-links",
+    )
+    digest = _digest(edges)
+    while True:
+        hung, hung_path = written(_small_star(_large_star(edges)), "account-links")
+        after = _digest(hung)
+        discard(spark, path)
+        edges, path = hung, hung_path
+        if after == digest:
             break
-    else:
-        raise RuntimeError(f"account groups did not settle in {max_rounds} rounds")
-    members = edges.select(F.col(node).alias(entity), F.col(low).alias("group_id"))
-    roots = edges.select(F.col(low).alias(entity), F.col(low).alias("group_id")).distinct()
+        digest = after
+    members = edges.select(F.col("node").alias(entity), F.col("low").alias("group_id"))
+    roots = edges.select(F.col("low").alias(entity), F.col("low").alias("group_id")).distinct()
     return members.unionByName(roots)
 
 
+def _digest(edges: DataFrame) -> tuple:
+    """Number of links and two digests of them."""
+    return tuple(
+        edges.agg(
+            F.count(F.lit(1)), F.bit_xor(F.xxhash64("node", "low")), F.bit_xor(F.xxhash64("low", F.lit(1), "node"))
+        ).first()
+    )
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang each node's larger neighbours on the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("low").alias("node"), F.col("node").alias("low")))

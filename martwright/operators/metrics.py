@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import (
     as_of_day,
-    cond_count_distinct,
     cond_max,
     contains_flag,
     delimiter_tier,
@@ -61,8 +60,16 @@ def buyer_cancel_rate(store_profile: DataFrame, support_tickets: DataFrame, repe
 
 
 def avg_profit_last_days(orders: DataFrame, as_of, days: int = 3) -> DataFrame:
-    spec = Rolling(f"avg_profit_last_{days}_days", "avg", F.col("merchant_profit"), days)
-    return rolling_as_of(orders, ["shop_id"], "order_created_at", as_of_day(as_of), [spec], prune=False)
+    """Mean profit of the last days per shop; NULL for a shop without an order in them.
+
+    The days are read by a pruned scan; the list of shops needs one column of the others.
+    """
+    name = f"avg_profit_last_{days}_days"
+    spec = Rolling(name, "avg", F.col("merchant_profit"), days)
+    recent = rolling_as_of(orders, ["shop_id"], "order_created_at", as_of_day(as_of), [spec])
+    shops = orders.groupBy("shop_id").agg(F.lit(1).alias("_one")).drop("_one")
+    same = shops["shop_id"].eqNullSafe(recent["shop_id"])
+    return shops.join(recent, same, "left").select(shops["shop_id"], name)
 
 
 def max_line_gmv_anchored(orders: DataFrame, as_of, days: int = 3, bounded: bool = False) -> DataFrame:
@@ -81,9 +88,12 @@ def max_line_gmv_anchored(orders: DataFrame, as_of, days: int = 3, bounded: bool
 
 
 def direct_order_ratio(orders: DataFrame) -> DataFrame:
-    direct = F.col("referring_site_label").isin(*DIRECT_SOURCES)
-    return orders.groupBy("shop_id").agg(
-        safe_div(cond_count_distinct(direct, "order_id"), F.count_distinct("order_id")).alias(
+    """Share of distinct orders that came directly: grouped by order first, then counted per shop."""
+    direct = F.when(F.col("referring_site_label").isin(*DIRECT_SOURCES), 1).otherwise(0)
+    per_order = orders.groupBy("shop_id", "order_id").agg(F.max(direct).alias("_direct"))
+    known = F.col("order_id").isNotNull()
+    return per_order.groupBy("shop_id").agg(
+        safe_div(F.sum(F.when(known, F.col("_direct")).otherwise(0)), F.count("order_id")).alias(
             "direct_traffic_order_ratio"
         )
     )

@@ -84,25 +84,29 @@ def recent_orders(tables: Tables, cfg: CheckoutConfig, as_of) -> DataFrame:
 
 
 def prepared_orders(
-    tables: Tables, cfg: CheckoutConfig = CheckoutConfig(), as_of=None, code_lists: bool = True
+    tables: Tables, cfg: CheckoutConfig = CheckoutConfig(), as_of=None, code_lists: bool = True,
+    store_domain: bool = True,
 ) -> DataFrame:
     """Cleaned orders with merchant, store and gateway telemetry.
 
     With ``code_lists`` every gateway's codes are added as text. Without, there is only
-    ``has_decline``, which is all the routing rules need and costs no text aggregation.
+    ``has_decline``, which is all the routing rules need and costs no text aggregation; only the
+    responses to these orders are looked at. ``store_domain`` adds ``shop_domain``.
     """
     live = recent_orders(tables, cfg, as_of)
     orders = live.select(*_cleaned(live))
     merchants = tables["dim_merchant"].select(F.col("id").alias("merchant_id"), F.col("email").alias("merchant_email"))
-    stores = tables["dim_store"].select("shop_id", norm_key("domain").alias("shop_domain"))
-    named = orders.join(merchants, "merchant_id", "left").join(stores, "shop_id", "left")
+    named = orders.join(merchants, "merchant_id", "left")
+    if store_domain:
+        stores = tables["dim_store"].select("shop_id", norm_key("domain").alias("shop_domain"))
+        named = named.join(stores, "shop_id", "left")
     if code_lists:
         lists = gateway_code_lists(gateways(tables))
         declined = F.lit(False)
         for name in gateways(tables):
             declined = declined | F.coalesce(F.col(f"{name}_signals").contains(DECLINE), F.lit(False))
         return attach(named, lists, "checkout_id").withColumn("has_decline", declined)
-    hits = checkouts_with_code(gateways(tables), DECLINE).withColumn("has_decline", F.lit(True))
+    hits = checkouts_with_code(gateways(tables), DECLINE, live).withColumn("has_decline", F.lit(True))
     return attach(named, hits, "checkout_id").withColumn(
         "has_decline", F.coalesce(F.col("has_decline"), F.lit(False))
     )
@@ -188,7 +192,7 @@ def routing_action(cfg: CheckoutConfig = CheckoutConfig()) -> Column:
 def checkout_routing(
     tables: Tables, cfg: CheckoutConfig = CheckoutConfig(), as_of=None, sort: bool = True
 ) -> DataFrame:
-    evaluated = evaluated_orders(prepared_orders(tables, cfg, as_of, code_lists=False), cfg)
+    evaluated = evaluated_orders(prepared_orders(tables, cfg, as_of, code_lists=False, store_domain=False), cfg)
     mart = evaluated.select(
         "order_id", "shop_id", "order_name", "order_created_at", "merchant_email", "buyer_email", "gmv",
         "merchant_profit", "profit_margin", "payment_gateway", "order_traffic_source",

@@ -17,6 +17,7 @@ from ..functions import as_of_day, days_between, ratio_of_sums, zero_if_null
 from ..operators.joins import attach
 from ..operators.registry import restricted_merchants
 from ..operators.signals import first_match
+from ..operators.temporal import as_of_join
 
 Tables = Mapping[str, DataFrame]
 
@@ -184,23 +185,36 @@ def ledger_balance(
     )
 
 
-def merchant_position(tables: Tables, requests: DataFrame, cfg: SettlementConfig, as_of) -> DataFrame:
+BALANCES = ("available_balance", "rolling_reserve_balance")
+
+
+def balances_at_request(requests: DataFrame, history: DataFrame) -> DataFrame:
+    """Add the merchant's balances as last recorded at or before the time of each request."""
+    return as_of_join(
+        requests, history, "merchant_id", "settlement_requested_at", "recorded_at", BALANCES, tie="balance_id"
+    )
+
+
+def merchant_position(
+    tables: Tables, requests: DataFrame, cfg: SettlementConfig, as_of, current_balances: bool = True
+) -> DataFrame:
     """All merchant-level inputs of the decision, for merchants with a pending request."""
     restricted = restricted_merchants(
         tables["fact_merchant_payout_setting"], tables["ref_restricted_account_registry"]
     )
-    balances = tables["fact_merchant_account_balance"].select(
-        "merchant_id", "available_balance", "rolling_reserve_balance"
-    )
-    return (
+    position = (
         payout_holds(requests)
         .join(portfolio(tables["dim_store"]), "merchant_id", "left")
         .join(merchant_exposure(tables, cfg, as_of), "merchant_id", "left")
         .join(restricted, "merchant_id", "left")
-        .join(balances, "merchant_id", "left")
     )
+    if not current_balances:
+        return position
+    balances = tables["fact_merchant_account_balance"].select("merchant_id", *BALANCES)
+    return position.join(balances, "merchant_id", "left")
 
 
+# The labels of a decision and their order.
 def reconciliation_status(cfg: SettlementConfig = SettlementConfig()) -> Column:
     c = F.col
     return first_match(
@@ -220,10 +234,14 @@ def reconciliation_status(cfg: SettlementConfig = SettlementConfig()) -> Column:
 
 def settlement_reconciliation(
     tables: Tables, cfg: SettlementConfig = SettlementConfig(), as_of=None, sort: bool = True,
-    exclude_self: bool = False,
+    exclude_self: bool = False, balances_as_of_request: bool = False,
 ) -> DataFrame:
+    """The mart. ``balances_as_of_request`` takes the ledger as it stood when a request was made, from
+    ``fact_merchant_balance_history``, instead of the current balances."""
     requests = pending_requests(tables["fact_settlement_request"], cfg)
-    position = merchant_position(tables, requests, cfg, as_of)
+    position = merchant_position(tables, requests, cfg, as_of, not balances_as_of_request)
+    if balances_as_of_request:
+        requests = balances_at_request(requests, tables["fact_merchant_balance_history"])
     joined = attach(requests, position, "merchant_id").withColumns({
         "is_destination_restricted": zero_if_null("is_matched"),
         "total_unfulfilled_or_disputed_exposure": zero_if_null("_exposure"),

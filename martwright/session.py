@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "martwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -16,6 +17,8 @@ def build_session(app_name: str = "martwright", master: str | None = None, **con
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # attach() relies on it: a join on (key, half) must not reuse an aggregate's partitioning by key.
+        "spark.sql.requireAllClusterKeysForCoPartition": "true",
         "spark.ui.enabled": "false",
         # Call-site capture for error messages doubles the time to build a plan in Python.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -45,3 +48,28 @@ def shared_dir(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once into the shared folder and read it back, with the path for :func:`discard`.
+
+    Later uses read the file instead of computing ``df`` again, also after an executor is lost. What
+    isn't discarded goes when the session's JVM ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    system, target = _file(spark, path)
+    system.deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of files, if it is there."""
+    system, target = _file(spark, path)
+    system.delete(target, True)
+
+
+def _file(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target

@@ -12,7 +12,6 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..operators.features import (
     buyer_history,
@@ -27,7 +26,6 @@ from ..operators.joins import literal_rows
 
 ORDERS_AS_OF = dt.date(2001, 8, 2)
 EVENTS_AS_OF = dt.date(2024, 1, 31)
-EVENT_SHIFT_DAYS = (EVENTS_AS_OF - ORDERS_AS_OF).days
 
 # Literal side tables of the sample: response texts, registries, mail domains, country names.
 GATEWAY_A_CODES = (
@@ -73,9 +71,6 @@ BUYER_EMAIL = (
 )
 
 
-_FILE_SCHEMAS: dict[str, StructType] = {}
-
-
 class SampleStar:
     """Role tables over one folder of sample parquet files. Mapping access: ``star["dim_order"]``."""
 
@@ -84,12 +79,10 @@ class SampleStar:
         self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        """A source table. Its schema is read from the file once; later reads start no job for it."""
+        """A source table, opened once."""
         if name not in self._raw:
             path = f"{self.folder}/{name}.parquet"
-            if path not in _FILE_SCHEMAS:
-                _FILE_SCHEMAS[path] = self.spark.read.parquet(path).schema
-            self._raw[name] = self.spark.read.schema(_FILE_SCHEMAS[path]).parquet(path)
+            self._raw[name] = self.spark.read.parquet(path)
         return self._raw[name]
 
     def __getitem__(self, role: str) -> DataFrame:
@@ -295,16 +288,18 @@ class SampleStar:
 
     @cached_property
     def funnel_events(self) -> DataFrame:
-        """Events moved onto the orders' calendar."""
+        """Events on their own calendar, whose last day is EVENTS_AS_OF."""
         return self.raw("events").select(
             F.col("user_id").alias("shop_id"),
             F.col("event_type").alias("event_name"),
-            (F.col("ts") - F.expr(f"interval {EVENT_SHIFT_DAYS} days")).alias("created_at"),
+            F.col("ts").alias("created_at"),
         )
 
     @cached_property
     def windowed_metrics(self) -> DataFrame:
-        return merchant_daily_metrics(self.dim_order_large, self.funnel_events, ORDERS_AS_OF)
+        return merchant_daily_metrics(
+            self.dim_order_large, self.funnel_events, ORDERS_AS_OF, events_as_of=EVENTS_AS_OF
+        )
 
     @cached_property
     def disposable_domains(self) -> DataFrame:
@@ -386,6 +381,15 @@ class SampleStar:
             F.max("reserve_hold_amount").alias("rolling_reserve_balance"),
         )
 
+    @cached_property
+    def fact_merchant_balance_history(self) -> DataFrame:
+        """A ledger snapshot at each finished order of a merchant."""
+        return self.fact_settlement_request.filter("status = 'F'").selectExpr(
+            "merchant_id", "settlement_id as balance_id", "created_at as recorded_at",
+            "cast(requested_amount * 40 as decimal(18,2)) as available_balance",
+            "reserve_hold_amount as rolling_reserve_balance",
+        )
+
     @cached_property
     def shipments_by_customer(self) -> DataFrame:
         """One row per order with its tracking number and customer."""

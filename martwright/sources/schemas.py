@@ -63,6 +63,8 @@ DDL = {
     "fact_chargebacks": f"shop_id bigint, order_id bigint, dispute_amount_usd {MONEY}, status string",
     "fact_merchant_account_balance": f"merchant_id bigint, available_balance {MONEY}, "
     f"rolling_reserve_balance {MONEY}",
+    "fact_merchant_balance_history": f"merchant_id bigint, balance_id bigint, recorded_at timestamp, "
+    f"available_balance {MONEY}, rolling_reserve_balance {MONEY}",
     "fact_order_shipment": "order_id bigint, first_carrier_scan_at timestamp",
     # Billing
     "fact_subscription_invoice": f"invoice_id bigint, merchant_id bigint, invoice_amount {MONEY}, "

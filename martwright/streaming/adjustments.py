@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.adjustments import apply_adjustments
-from ..operators.joins import first_per_key
+from ..operators.adjustments import apply_adjustments, latest_updates
+from ..session import discard
 from ..sources.files import write_mart
 
 BATCH = "batch_id"
@@ -23,12 +23,9 @@ def log_adjustments(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the query that stores streamed updates; ``available_now`` drains the source and ends."""
-    order = [F.col(version).desc_nulls_last()]
-    if tie:
-        order.append(F.col(tie).desc_nulls_last())
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        latest = first_per_key(batch, [key], order)
+        latest = latest_updates(batch, key, version, tie)
         latest.write.mode("overwrite").parquet(f"{log_path}/{BATCH}={batch_id}")
 
     writer = updates.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
@@ -42,6 +39,19 @@ def current_state(base: DataFrame, log: DataFrame, key: str, version: str, tie:
 
 def compact(
     base: DataFrame, log: DataFrame, path: str, key: str, version: str, tie: str | None = None
-) -> None:
-    """Write the merged table to a new folder."""
-    write_mart(current_state(base, log, key, version, tie), path)
+) -> int | None:
+    """Write the merged table to a new folder; the last batch that it holds, None for an empty log.
+
+    Batches that arrive meanwhile are left out. Once readers use the new folder, :func:`trim`
+    removes what it holds from the log.
+    """
+    last = log.agg(F.max(BATCH)).first()[0]
+    held = log.filter(F.col(BATCH) <= last) if last is not None else log.limit(0)
+    write_mart(current_state(base, held, key, version, tie), path)
+    return last
+
+
+def trim(log: DataFrame, log_path: str, last: int) -> None:
+    """Delete the batches up to ``last`` from the log folder."""
+    for row in log.select(BATCH).filter(F.col(BATCH) <= last).distinct().toLocalIterator():
+        discard(log.sparkSession, f"{log_path}/{BATCH}={row[0]}")

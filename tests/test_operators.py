@@ -97,7 +97,7 @@ def test_filter_ids_and_id_list(table):
     assert rows(filter_ids(df, "id", "1, 2,x, ,5")) == [(1,), (2,), (5,)]
     page = table("page int, n int, t string", [(1, 2, " 20 "), (1, 1, "10"), (1, 3, "abc"), (2, 1, "")])
     texts = id_list(page, "t", ["page"], ["n"])
-    assert rows(texts) == [(1, "10, 20", 2)]
+    assert rows(texts) == [(1, 1, "10, 20", 2)]
     assert rows(filter_ids(table("id int", [(10,), (11,)]), "id", texts.select("id_text"))) == [(10,)]
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martwright.functions import as_of_day
-from martwright.operators.temporal import Rolling, as_of_join, piece_for, rolling_as_of, rolling_per_event, with_neighbors
+from martwright.operators.temporal import Rolling, as_of_join, rolling_as_of, rolling_per_event, time_bounds, with_neighbors
 
 START = dt.datetime(2026, 1, 1)
 
@@ -92,7 +92,32 @@ def test_rolling_window_bounds(table):
     assert {tuple(r) for r in closed.collect()} == {(1, 6), (2, None)}
 
 
-def test_piece_follows_the_row_count():
-    sizes = (15_000, 10**7, 10**8, 10**9, 10**10, 10**12)
-    assert [piece_for(n, 2400) for n in sizes] == ["year", "month", "week", "day", "hour", "minute"]
-    assert piece_for(10**4, 30) == "year"
+def test_hot_instant(spark):
+    """40 % of all rows on one key at one instant are answered once, and reach no window one by one."""
+    at = START + dt.timedelta(days=40)
+    left = [(i, 1 if i % 5 < 2 else i, at if i % 5 < 2 else START) for i in range(1000)]
+    facts = [(i, 1 if i % 5 < 2 else i, at - dt.timedelta(hours=1) if i % 5 < 2 else START, 1) for i in range(1000)]
+    anchors = spark.createDataFrame(left, "id int, k int, at timestamp")
+    table = spark.createDataFrame(facts, "fid int, k int, ts timestamp, v int")
+    got = rolling_per_event(anchors, table, "id", "k", "at", "ts", 3, {"n": F.col("v")}, bounds=time_bounds(anchors, "at"))
+    assert {(r.id, r.n) for r in got.collect()} == {(i, 400 if i % 5 < 2 else 0) for i in range(1000)}
+    seen = as_of_join(anchors, table, "k", "at", "ts", ["fid"], within="24 hours")
+    assert all(r.fid == r.id if r.k != 1 else r.fid % 5 < 2 for r in seen.collect())
+
+
+def test_binary_fractions_are_refused(spark):
+    anchors = spark.createDataFrame([(1, 1, START)], "id int, k int, at timestamp")
+    facts = spark.createDataFrame([(1, START, 0.1)], "k int, ts timestamp, v double")
+    with pytest.raises(ValueError, match="decimal"):
+        rolling_per_event(anchors, facts, "id", "k", "at", "ts", 3, {"v": F.col("v")})
+
+
+def test_windows_over_the_turn_of_years(spark):
+    """Neighbours and states are carried over years without a row."""
+    days = [dt.datetime(2020, 12, 31), dt.datetime(2021, 1, 1), dt.datetime(2024, 6, 1), dt.datetime(2027, 1, 1)]
+    df = spark.createDataFrame([(i, 1, t, i) for i, t in enumerate(days)], "id int, k int, ts timestamp, v int")
+    got = {r.id: (r.previous_v, r.subsequent_v) for r in with_neighbors(df, ["k"], "ts", "id", "v").collect()}
+    assert got == {0: (None, 1), 1: (0, 2), 2: (1, 3), 3: (2, None)}
+    asked = spark.createDataFrame([(9, 1, dt.datetime(2026, 5, 5)), (8, 1, days[0]), (7, 2, days[0])], "a int, k int, at timestamp")
+    found = as_of_join(asked, df, "k", "at", "ts", ["v"]).collect()
+    assert {r.a: r.v for r in found} == {9: 2, 8: 0, 7: None}

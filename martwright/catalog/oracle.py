@@ -322,12 +322,12 @@ _ROUTING = (
 )
 
 _HEALTH_CODES = {
-    "sig_critical_dispute": ("dispute_order_ratio >= 0.85", "CRITICAL_DISPUTE_SURGE "),
-    "sig_gateway_failure": ("payment_failure_rate_primary_gateway >= 0.40", "HIGH_GATEWAY_FAILURE "),
+    "sig_critical_dispute": ("dispute_order_ratio >= 0.35", "CRITICAL_DISPUTE_SURGE "),
+    "sig_gateway_failure": ("payment_failure_rate_primary_gateway >= 0.22", "HIGH_GATEWAY_FAILURE "),
     "sig_gmv_surge": ("avg_gmv_l3d >= 100", "HIGH_GMV_SURGE "),
     "sig_disposable_emails": ("disposable_email_rate >= 0.15", "DISPOSABLE_BUYER_EMAIL "),
     "sig_direct_traffic": ("pct_direct_traffic_l3d >= 0.85", "UNATTRIBUTED_DIRECT_TRAFFIC "),
-    "sig_multi_store_clustering": ("multi_store_buyer_rate >= 0.40", "MULTI_STORE_BUYER_CLUSTER "),
+    "sig_multi_store_clustering": ("multi_store_buyer_rate >= 0.95", "MULTI_STORE_BUYER_CLUSTER "),
     "sig_restricted_disbursement": ("is_disbursement_restricted = 1", "RESTRICTED_DISBURSEMENT_RECIPIENT "),
 }
 _HEALTH_TEXT = "trim(concat(" + ", ".join(f"CASE WHEN {c} THEN '{t}' END" for c, t in _HEALTH_CODES.values()) + "))"
@@ -349,7 +349,7 @@ _SIGNALS = {
     "sig_gateway_decline_received": "declined",
     "sig_excessive_retry_burst": "attempts >= 12",
     "sig_high_gateway_latency": "latency >= 75",
-    "sig_buyer_velocity_spike": "d.n >= 5",
+    "sig_buyer_velocity_spike": "d.n >= 2",
     "sig_buyer_return_history": "t.returned >= 8",
     "sig_shipping_ip_mismatch": "wd = 0",
     "sig_shipping_card_country_mismatch": "wd = 1",

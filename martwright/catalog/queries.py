@@ -28,8 +28,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CONSOLIDATED = ConsolidatedConfig(since=dt.date(1996, 1, 1))
 ALL_DAYS = 4000
-CHECKOUT_HISTORY = CheckoutConfig(lookback_days=ALL_DAYS)
-HEALTH_HISTORY = MerchantHealthConfig(active_days=ALL_DAYS)
+# Thresholds at which the sample has rows on both sides.
+CHECKOUT_HISTORY = CheckoutConfig(lookback_days=ALL_DAYS, buyer_orders_per_day=2)
+HEALTH = MerchantHealthConfig(critical_dispute_ratio=0.35, high_failure_ratio=0.22, multi_store_buyer_rate=0.95)
+HEALTH_HISTORY = replace(HEALTH, active_days=ALL_DAYS)
 SETTLEMENT = SettlementConfig(pending_status=PENDING)
 SETTLEMENT_HISTORY = replace(SETTLEMENT, flag_order_age_days=ALL_DAYS)
 BILLING = BillingConfig(pending_status=PENDING)
@@ -104,7 +106,7 @@ def checkout_routing_mart(star: SampleStar) -> DataFrame:
 
 @_register
 def checkout_routing_history(star: SampleStar) -> DataFrame:
-    return checkout.checkout_routing(star, CHECKOUT_HISTORY, ORDERS_AS_OF)
+    return checkout.checkout_routing(star, CHECKOUT_HISTORY, ORDERS_AS_OF, recent_responses=False)
 
 
 class _WithFeatures(SampleStar):
@@ -115,10 +117,11 @@ class _WithFeatures(SampleStar):
 
 
 def _evaluated(star: SampleStar) -> DataFrame:
-    full = _WithFeatures(star.spark, star.folder)
-    return checkout.evaluated_orders(
-        checkout.prepared_orders(full, CHECKOUT_HISTORY, ORDERS_AS_OF, code_lists=False, store_domain=False), CHECKOUT_HISTORY
+    prepared = checkout.prepared_orders(
+        _WithFeatures(star.spark, star.folder), CHECKOUT_HISTORY, ORDERS_AS_OF, code_lists=False, store_domain=False,
+        recent_responses=False,
     )
+    return checkout.evaluated_orders(prepared, CHECKOUT_HISTORY)
 
 
 @_register
@@ -164,7 +167,7 @@ def gateway_code_counts(star: SampleStar) -> DataFrame:
 
 @_register
 def merchant_360_mart(star: SampleStar) -> DataFrame:
-    return merchant360.merchant_360(star, as_of=ORDERS_AS_OF)
+    return merchant360.merchant_360(star, HEALTH, ORDERS_AS_OF)
 
 
 @_register
@@ -181,7 +184,9 @@ def merchant_tiers(star: SampleStar) -> DataFrame:
 
 @_register
 def merchant_health_codes(star: SampleStar) -> DataFrame:
-    coded = merchant360.with_health_codes(merchant360.base_metrics(star, HEALTH_HISTORY, ORDERS_AS_OF))
+    coded = merchant360.with_health_codes(
+        merchant360.base_metrics(star, HEALTH_HISTORY, ORDERS_AS_OF), HEALTH_HISTORY
+    )
     return coded.select("shop_id", *(s.name for s in merchant360.health_signals()), "aggregated_health_signals")
 
 

@@ -9,13 +9,11 @@ from .joins import attach, first_per_key
 
 
 def latest_updates(updates: DataFrame, key: str, version: str, tie: str | None = None) -> DataFrame:
-    """The update of largest version per key, then of largest ``tie``; updates without a key all stay."""
+    """The update of largest version per key, then of largest ``tie``. An update without a key names no row and is left out."""
     order = [F.col(version).desc_nulls_last()]
     if tie:
         order.append(F.col(tie).desc_nulls_last())
-    return first_per_key(updates.filter(F.col(key).isNotNull()), [key], order).unionByName(
-        updates.filter(F.col(key).isNull())
-    )
+    return first_per_key(updates.filter(F.col(key).isNotNull()), [key], order)
 
 
 def apply_adjustments(
@@ -25,7 +23,7 @@ def apply_adjustments(
 
     ``tie`` orders updates that share a version (largest wins). Updates may bring new keys. Base
     rows never meet each other: a NULL key matches nothing, and each row of a repeated key is
-    merged for itself. An update without a key is a new row.
+    merged for itself. An update without a key names no row and is left out.
 
     The updates are reduced first and joined to the base, so a few updates to a large base are
     broadcast and the base is not shuffled. Columns that the updates lack become NULL.
@@ -36,7 +34,7 @@ def apply_adjustments(
     new_values = F.struct(
         *((F.col(c) if c in given else F.lit(None).cast(base.schema[c].dataType)).alias(c) for c in columns)
     )
-    named = latest.filter(F.col(key).isNotNull()).select(key, new_values.alias("_new"))
+    named = latest.select(key, new_values.alias("_new"))
     joined = attach(base, named, key)
     newer = F.col(version).isNull() | (F.col(f"_new.{version}") >= F.col(version))
     wins = F.col("_new").isNotNull() & F.coalesce(newer, F.lit(False))

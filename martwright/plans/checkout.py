@@ -85,13 +85,14 @@ def recent_orders(tables: Tables, cfg: CheckoutConfig, as_of) -> DataFrame:
 
 def prepared_orders(
     tables: Tables, cfg: CheckoutConfig = CheckoutConfig(), as_of=None, code_lists: bool = True,
-    store_domain: bool = True,
+    store_domain: bool = True, recent_responses: bool = True,
 ) -> DataFrame:
     """Cleaned orders with merchant, store and gateway telemetry.
 
     With ``code_lists`` every gateway's codes are added as text. Without, there is only
-    ``has_decline``, which is all the routing rules need and costs no text aggregation; only the
-    responses to these orders are looked at. ``store_domain`` adds ``shop_domain``.
+    ``has_decline``, which is all the routing rules need and costs no text aggregation. With
+    ``recent_responses`` only the responses to these orders are looked at, which pays where the
+    lookback is short. ``store_domain`` adds ``shop_domain``.
     """
     live = recent_orders(tables, cfg, as_of)
     orders = live.select(*_cleaned(live))
@@ -106,7 +107,7 @@ def prepared_orders(
         for name in gateways(tables):
             declined = declined | F.coalesce(F.col(f"{name}_signals").contains(DECLINE), F.lit(False))
         return attach(named, lists, "checkout_id").withColumn("has_decline", declined)
-    hits = checkouts_with_code(gateways(tables), DECLINE, live).withColumn("has_decline", F.lit(True))
+    hits = checkouts_with_code(gateways(tables), DECLINE, live if recent_responses else None).withColumn("has_decline", F.lit(True))
     return attach(named, hits, "checkout_id").withColumn(
         "has_decline", F.coalesce(F.col("has_decline"), F.lit(False))
     )
@@ -190,9 +191,13 @@ def routing_action(cfg: CheckoutConfig = CheckoutConfig()) -> Column:
 
 
 def checkout_routing(
-    tables: Tables, cfg: CheckoutConfig = CheckoutConfig(), as_of=None, sort: bool = True
+    tables: Tables, cfg: CheckoutConfig = CheckoutConfig(), as_of=None, sort: bool = True,
+    recent_responses: bool = True,
 ) -> DataFrame:
-    evaluated = evaluated_orders(prepared_orders(tables, cfg, as_of, code_lists=False, store_domain=False), cfg)
+    prepared = prepared_orders(
+        tables, cfg, as_of, code_lists=False, store_domain=False, recent_responses=recent_responses
+    )
+    evaluated = evaluated_orders(prepared, cfg)
     mart = evaluated.select(
         "order_id", "shop_id", "order_name", "order_created_at", "merchant_email", "buyer_email", "gmv",
         "merchant_profit", "profit_margin", "payment_gateway", "order_traffic_source",

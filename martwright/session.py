@@ -42,7 +42,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current is not None:
         return os.path.dirname(current)
-    return tempfile.mkdtemp(prefix="martwright-")
+    folder = tempfile.mkdtemp(prefix="martwright-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

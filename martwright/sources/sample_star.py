@@ -70,6 +70,8 @@ BUYER_EMAIL = (
     "when '2-HIGH' then '@mail' else '@Buyers.example' end)"
 )
 
+ORDER_STATUS = "case o_orderstatus when 'F' then 'cancelled' when 'P' then 'refunded' else 'completed' end"
+
 
 class SampleStar:
     """Role tables over one folder of sample parquet files. Mapping access: ``star["dim_order"]``."""
@@ -201,12 +203,16 @@ class SampleStar:
             f"{money('top_line_cents')} as max_raw_price_lineitem",
             "case o_orderstatus when 'F' then last_ship end as account_tier_updated_at",
             f"{TRAFFIC} as referring_site_label",
-            "case o_orderstatus when 'F' then 'cancelled' when 'P' then 'refunded' else 'completed' end as order_status",
+            f"{ORDER_STATUS} as order_status",
         )
 
     @cached_property
     def dim_order_with_features(self) -> DataFrame:
-        return buyer_history(buyer_velocity(self.dim_order)).drop("order_status")
+        buyers = self.raw("orders").selectExpr(
+            f"{BUYER_EMAIL} as buyer_email", "o_orderdate as order_created_at", f"{ORDER_STATUS} as order_status"
+        )
+        counted = buyer_velocity(self.dim_order, counted=buyers)
+        return buyer_history(counted, counted=buyers).drop("order_status")
 
     @cached_property
     def dim_merchant(self) -> DataFrame:

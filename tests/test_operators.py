@@ -92,6 +92,28 @@ def test_apply_adjustments(table):
     ]
 
 
+def test_adjustments_keep_rows_without_a_key_and_repeated_ones(table):
+    base = table("k int, v int, at int", [(None, 1, 1), (None, 2, 1), (1, 3, 1), (1, 4, 9), (2, 5, None), (3, 6, 5)])
+    updates = table("k int, v int, at int", [(1, 30, 2), (1, 31, 5), (1, 32, 5), (2, 50, None), (3, 60, 4), (4, 70, 1), (None, 80, 9)])
+    got = apply_adjustments(base, updates, "k", "at", tie="v")
+    want = [(None, 1, 1), (None, 2, 1), (1, 32, 5), (1, 4, 9), (2, 50, None), (3, 6, 5), (4, 70, 1)]
+    order = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(map(tuple, got.collect()), key=order) == sorted(want, key=order)
+
+
+def test_long_chain_of_accounts_settles(table):
+    n = 70
+    links = table("anchor int, account int", [(k, k + 1) for k in range(n)] + [(500, 501)])
+    got = {r.account: r.group_id for r in account_groups(links, "account").collect()}
+    assert got == {**{k: 0 for k in range(n + 1)}, 500: 500, 501: 500}
+
+
+def test_long_pages_go_on_in_parts(table):
+    page = table("page int, n int, t string", [(1, k, str(k)) for k in range(7)])
+    got = sorted(map(tuple, id_list(page, "t", ["page"], ["n"], page_rows=3).collect()))
+    assert got == [(1, 1, "0, 1, 2", 3), (1, 2, "3, 4, 5", 3), (1, 3, "6", 1)]
+
+
 def test_filter_ids_and_id_list(table):
     df = table("id int", [(i,) for i in range(1, 8)])
     assert rows(filter_ids(df, "id", "1, 2,x, ,5")) == [(1,), (2,), (5,)]

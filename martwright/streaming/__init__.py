@@ -1,5 +1,5 @@
 """Structured Streaming side of the adjustments feed."""
 
-from .adjustments import compact, current_state, log_adjustments
+from .adjustments import compact, current_state, log_adjustments, trim
 
-__all__ = ["compact", "current_state", "log_adjustments"]
+__all__ = ["compact", "current_state", "log_adjustments", "trim"]

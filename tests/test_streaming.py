@@ -1,5 +1,5 @@
 from martwright.sources import write_mart
-from martwright.streaming import compact, current_state, log_adjustments
+from martwright.streaming import compact, current_state, log_adjustments, trim
 
 DDL = "id int, amount int, version int"
 
@@ -22,5 +22,8 @@ def test_adjustment_stream(spark, table, tmp_path):
     assert log.count() == 4 and {r.batch_id for r in log.select("batch_id").distinct().collect()} == {0, 1}
     want = [(1, 12, 3), (2, 25, 2), (3, 30, 5), (4, 40, 1)]
     assert sorted(map(tuple, current_state(base, log, "id", "version").collect())) == want
-    compact(base, log, f"{folder}/base_2", "id", "version")
+    assert compact(base, log, f"{folder}/base_2", "id", "version") == 1
     assert sorted(map(tuple, spark.read.parquet(f"{folder}/base_2").collect())) == want
+    trim(log, f"{folder}/log", 0)
+    left = spark.read.parquet(f"{folder}/log")
+    assert {r.batch_id for r in left.select("batch_id").distinct().collect()} == {1}

@@ -248,28 +248,21 @@ def find_contamination(
     A benchmark of up to ``block_bytes`` goes to every task as a broadcast; beyond that it is searched block by block,
     and the rows of each pass are written to the shared folder before the next, which joins its hits to them.
     """
-    blocks = list(_searched(docs, benchmark, text, item_id, window, block_bytes, keep))
-    return blocks[-1]
-
-
-def _searched(docs, benchmark, text, item_id, window, block_bytes, keep):
     kept = list(docs.columns if keep is None else keep)
-    current, several = docs, False
+    results = [f.name for f in RESULT] + ["contaminated"]
+    final = [c for c in kept if c.lower() not in results]
+    with_text = [*final, *((text,) if text not in final else ())]
+    found, held = None, []
     for items in benchmark_blocks(benchmark, item_id, "text", block_bytes):
+        source = docs
+        if found is not None:  # another block: its hits join those found so far
+            held = ["_spans", "_items"]
+            source = stage(found, "decontaminate").withColumnsRenamed({"hit_spans": "_spans", "hit_items": "_items"})
         patterns = docs.sparkSession.sparkContext.broadcast(Patterns(items, window))
-        if several:
-            current = stage(current, "decontaminate").withColumnsRenamed(
-                {"hit_spans": "_spans", "hit_items": "_items"}
-            )
-        carried = [*kept, *(c for c in ("_spans", "_items") if several), *((text,) if text not in kept else ())]
-        found = add_columns(current, text, RESULT, lambda c, p=patterns: _work(p.value)(c), carried)
-        if several:
-            found = _merged(found)
-        several = True
-        final = [c for c in kept if c.lower() not in {"n_words", "n_hit", "hit_spans", "hit_items", "contaminated"}]
-        result = found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-        current = result
-        yield result.select(*final, "n_words", "n_hit", "hit_spans", "hit_items", "contaminated")
+        found = add_columns(source, text, RESULT, lambda c, p=patterns: _work(p.value)(c), [*with_text, *held])
+        found = _merged(found) if held else found
+    marked = found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    return marked.select(*final, *results)
 
 
 def _merged(found: DataFrame) -> DataFrame:

@@ -116,7 +116,11 @@ def _identifiers(text: str, taken: Found) -> Iterator[tuple[int, int]]:
             b -= 1
         while k < len(spans) and spans[k][1] <= a:
             k += 1
-        if a < b and not any(x < b and y > a for x, y in spans[k : k + 8]):
+        near, touched = k, False
+        while not touched and near < len(spans) and spans[near][0] < b:
+            touched = spans[near][1] > a
+            near += 1
+        if a < b and not touched:
             yield a, b
 
 

@@ -82,28 +82,32 @@ def reconciled_orders(
     )
 
 
-def dispute_reserves(
-    chargebacks: DataFrame, stores: DataFrame, cfg: SettlementConfig = SettlementConfig()
-) -> DataFrame:
-    """Pending dispute amount per merchant; repeated chargebacks of an order count once, at their maximum."""
-    per_shop = (
+def shop_reserves(chargebacks: DataFrame, cfg: SettlementConfig = SettlementConfig()) -> DataFrame:
+    """Pending dispute amount per shop; repeated chargebacks of an order count once, at their maximum."""
+    return (
         chargebacks.filter(F.lower("status") == cfg.pending_dispute_status)
         .groupBy("shop_id", "order_id")
         .agg(F.max("dispute_amount_usd").alias("_amount"))
         .groupBy("shop_id")
-        .agg(F.sum(zero_if_null("_amount")).alias("_amount"))
+        .agg(F.sum(zero_if_null("_amount")).alias("_reserve"))
     )
+
+
+def dispute_reserves(
+    chargebacks: DataFrame, stores: DataFrame, cfg: SettlementConfig = SettlementConfig()
+) -> DataFrame:
+    """Pending dispute amount per merchant."""
     return (
         stores.select("shop_id", "merchant_id")
-        .join(per_shop, "shop_id")
+        .join(shop_reserves(chargebacks, cfg), "shop_id")
         .groupBy("merchant_id")
-        .agg(F.sum("_amount").alias("total_pending_dispute_reserve_usd"))
+        .agg(F.sum("_reserve").alias("total_pending_dispute_reserve_usd"))
     )
 
 
-def merchant_exposure(tables: Tables, cfg: SettlementConfig = SettlementConfig(), as_of=None) -> DataFrame:
-    """Exposed order amounts plus the dispute reserve per merchant that has either."""
-    per_shop = (
+def shop_exposure(tables: Tables, cfg: SettlementConfig = SettlementConfig(), as_of=None) -> DataFrame:
+    """Amounts of orders with a flag that counts as exposure, per shop."""
+    return (
         reconciled_orders(
             tables["fact_order_daily"], tables["fact_order_shipment"], cfg, as_of, recent_only=True
         )
@@ -111,13 +115,22 @@ def merchant_exposure(tables: Tables, cfg: SettlementConfig = SettlementConfig()
         .groupBy("shop_id")
         .agg(F.sum("order_amount").alias("_exposed"))
     )
-    stores = tables["dim_store"].select("shop_id", "merchant_id")
-    exposed = stores.join(per_shop, "shop_id").groupBy("merchant_id").agg(F.sum("_exposed").alias("_exposed"))
-    reserves = dispute_reserves(tables["fact_chargebacks"], tables["dim_store"], cfg)
-    return exposed.join(reserves, "merchant_id", "full").select(
-        "merchant_id",
-        (zero_if_null("_exposed") + zero_if_null("total_pending_dispute_reserve_usd")).alias("_exposure"),
+
+
+def merchant_summary(tables: Tables, cfg: SettlementConfig = SettlementConfig(), as_of=None) -> DataFrame:
+    """Portfolio and exposure per merchant, in one pass over the stores."""
+    stores = (
+        tables["dim_store"]
+        .join(shop_exposure(tables, cfg, as_of), "shop_id", "left")
+        .join(shop_reserves(tables["fact_chargebacks"], cfg), "shop_id", "left")
     )
+    exposure = (zero_if_null(F.sum("_exposed")) + zero_if_null(F.sum("_reserve"))).alias("_exposure")
+    return stores.groupBy("merchant_id").agg(*_portfolio(), exposure)
+
+
+def merchant_exposure(tables: Tables, cfg: SettlementConfig = SettlementConfig(), as_of=None) -> DataFrame:
+    """Exposed order amounts plus the dispute reserve per merchant."""
+    return merchant_summary(tables, cfg, as_of).select("merchant_id", "_exposure")
 
 
 def variance_exposure(tables: Tables, cfg: SettlementConfig = SettlementConfig(), as_of=None) -> DataFrame:
@@ -127,12 +140,16 @@ def variance_exposure(tables: Tables, cfg: SettlementConfig = SettlementConfig()
     )
 
 
-def portfolio(stores: DataFrame) -> DataFrame:
-    return stores.groupBy("merchant_id").agg(
+def _portfolio() -> list[Column]:
+    return [
         F.max("store_segment").alias("portfolio_segment"),
         F.sum("total_order_count").alias("total_orders"),
         ratio_of_sums("total_disputed_orders", "total_order_count").alias("portfolio_dispute_rate"),
-    )
+    ]
+
+
+def portfolio(stores: DataFrame) -> DataFrame:
+    return stores.groupBy("merchant_id").agg(*_portfolio())
 
 
 def portfolio_summary(tables: Tables, cfg: SettlementConfig = SettlementConfig()) -> DataFrame:
@@ -204,8 +221,7 @@ def merchant_position(
     )
     position = (
         payout_holds(requests)
-        .join(portfolio(tables["dim_store"]), "merchant_id", "left")
-        .join(merchant_exposure(tables, cfg, as_of), "merchant_id", "left")
+        .join(merchant_summary(tables, cfg, as_of), "merchant_id", "left")
         .join(restricted, "merchant_id", "left")
     )
     if not current_balances:

@@ -104,7 +104,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Rule counts of all documents, and the verdict of base rules and robust outliers."""
     judged = quality_rules.judge(_table(spark, folder, "documents"), keep=["doc_id"])
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 

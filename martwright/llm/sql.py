@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .quality_rules import C_STEPS, CONSISTENCY, CUTOFF, LEAST_GROUP, SHARE, STATISTICS
+
 #: Words of ``TEXT``: A-Z folded, then runs of digits, letters and non-ASCII characters.
 _WORDS = (
     "regexp_extract_all(translate(coalesce(TEXT, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -101,7 +103,91 @@ SELECT doc_id, CAST(min(i) AS INTEGER) AS first_word, CAST(max(i) + 50 AS INTEGE
 FROM run GROUP BY doc_id, k
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5, "op6_suffix_dedup": OP6}
+def _op10() -> str:
+    """Rule counts, then the concentration steps spelled out one table after the other."""
+    floors = list(STATISTICS.values())
+    p = len(floors)
+    cells = [(i, j) for i in range(p) for j in range(i + 1)]
+    stats = ", ".join(f"f{k}" for k in range(p))
+
+    def triangle(name: str, source: str) -> str:
+        """Cholesky factor of the covariance (c..) of ``source``, one entry after the other."""
+        inner = f"SELECT * FROM {source}"
+        for i, j in cells:
+            taken = " ".join(f"- l{i}{k} * l{j}{k}" for k in range(j))
+            if i == j:
+                value = f"sqrt(greatest(c{i}{j} + {floors[i] ** 2!r} {taken}, {floors[i] ** 2 / 4!r}))"
+            else:
+                value = f"(c{i}{j} {taken}) / l{j}{j}"
+            inner = f"SELECT *, {value} AS l{i}{j} FROM ({inner})"
+        return f"{name} AS MATERIALIZED ({inner})"
+
+    def distance(source: str) -> str:
+        inner = source
+        for i in range(p):
+            taken = " ".join(f"- l{i}{k} * z{k}" for k in range(i))
+            inner = f"SELECT *, (f{i} - m{i} {taken}) / l{i}{i} AS z{i} FROM ({inner})"
+        return f"SELECT *, {' + '.join(f'z{i} * z{i}' for i in range(p))} AS distance FROM ({inner})"
+
+    start = ", ".join(f"pow(1.4826 * s{i}, 2) AS c{i}{j}" if i == j else f"0.0 AS c{i}{j}" for i, j in cells)
+    tables = [
+        f"centre AS (SELECT grp, count(*) AS n, {', '.join(f'quantile_disc(f{k}, 0.5) AS m{k}' for k in range(p))} FROM g GROUP BY grp)",
+        f"spread AS (SELECT grp, {', '.join(f'quantile_disc(abs(f{k} - m{k}), 0.5) AS s{k}' for k in range(p))} FROM g JOIN centre USING (grp) GROUP BY grp)",
+        f"first AS (SELECT *, {start} FROM centre JOIN spread USING (grp))",
+        triangle("e0", "first"),
+    ]
+    for step in range(C_STEPS):
+        moments = ", ".join(f"avg(f{k}) AS m{k}" for k in range(p))
+        spreads = ", ".join(f"{CONSISTENCY!r} * covar_pop(f{i}, f{j}) AS c{i}{j}" for i, j in cells)
+        tables += [
+            f"d{step} AS MATERIALIZED ({distance(f'SELECT g.*, e{step}.* EXCLUDE (grp) FROM g JOIN e{step} USING (grp)')})",
+            f"b{step} AS (SELECT grp, quantile_disc(distance, {SHARE!r}) AS bound, count(*) AS size FROM d{step} GROUP BY grp)",
+            f"c{step} AS (SELECT grp, any_value(size) AS n, {moments}, {spreads} FROM d{step} JOIN b{step} USING (grp) "
+            "WHERE distance <= bound GROUP BY grp)",
+            triangle(f"e{step + 1}", f"c{step}"),
+        ]
+    large = f"(SELECT * FROM e{C_STEPS} WHERE n >= {LEAST_GROUP})"
+    judged = distance(
+        f"SELECT s.r, {stats}, coalesce(o.n, w.n) AS n, "
+        + ", ".join(f"CASE WHEN o.n IS NOT NULL THEN o.{c} ELSE w.{c} END AS {c}" for c in
+                    [f"m{k}" for k in range(p)] + [f"l{i}{j}" for i, j in cells])
+        + f" FROM s LEFT JOIN {large} o ON o.grp = own LEFT JOIN {large} w ON w.grp = wide"
+    )
+    return (
+        r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM documents
+),
+grams AS (SELECT r, i, list_slice(w, i, i + 4) AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) > 5)),
+again AS (SELECT r, i FROM grams JOIN (SELECT r, g FROM grams GROUP BY r, g HAVING count(*) > 1) USING (r, g)),
+hit AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS k FROM again) GROUP BY r),
+counts AS (
+  SELECT r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum([length(x) FOR x IN w]), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_repeat_words
+  FROM t LEFT JOIN hit USING (r)
+),
+s AS MATERIALIZED (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    ln((word_chars + 150.0) / (n_words + 30.0)) AS f0, ln(1 + 100.0 * n_symbols / greatest(word_chars, 1)) AS f1,
+    n_dup_lines / (n_dup_lines + 10.0) AS f2, n_repeat_words / greatest(n_words, 1) AS f3,
+    coalesce('l' || lang, 'n') || chr(0) || coalesce('s' || source, 'n') AS own, coalesce('l' || lang, 'n') AS wide
+  FROM counts
+),
+"""
+        + f"g AS MATERIALIZED (SELECT own AS grp, {stats} FROM s WHERE NOT base_failed UNION ALL "
+        + f"SELECT wide, {stats} FROM s WHERE NOT base_failed),\n"
+        + ",\n".join(tables)
+        + f",\nj AS ({judged})\nSELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, "
+        + f"NOT base_failed AND NOT coalesce(distance > {CUTOFF!r}, false) AS kept FROM s JOIN j USING (r)"
+    )
+
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5, "op6_suffix_dedup": OP6, "op10_quality_rules": _op10()}
 
 
 def oracle_sql() -> dict[str, str]:

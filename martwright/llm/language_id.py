@@ -228,17 +228,25 @@ def _predict(net: Network):
 
 
 def sample_stretches(docs: DataFrame, text: str, lang: str, key: str, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
-    """(lang, stretch) of a bounded sample: per language the documents of smallest key hash, and stretches spread evenly
-    over each whole text. The rank filter cuts every language down map-side, so none is collected."""
-    ranked = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
+    """(lang, h, k, stretch) of a bounded sample: per language the documents of smallest key hash, and stretches spread
+    evenly over each whole text.
+
+    A language's documents are counted first, which reads no text; all but about twice as many as wanted are then left
+    out by their hash, and only stretches are sorted. No task gets more rows from a larger table. The counts, one
+    number for each language that the network will tell apart, come to the driver.
+    """
+    known = docs.filter(F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key)).alias("h")
     )
-    order = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
-    picked = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_language)
-    start = F.floor(F.length("text") * F.col("k") / STRETCHES).cast("int") + 1
-    return picked.select("lang", "text", "h", F.explode(F.sequence(F.lit(0), F.lit(STRETCHES - 1))).alias("k")).select(
-        "lang", "h", "k", F.substring("text", start, F.lit(STRETCH)).alias("stretch")
-    )
+    counts = known.groupBy("lang").count().collect()
+    shares = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], (2.0 * per_language + 100) / r["count"])))
+    place = F.shiftrightunsigned("h", 1).cast("double") / float(1 << 63)
+    near = known.filter(F.col("text").isNotNull() & (place < shares[F.col("lang")])) if counts else known.limit(0)
+    starts = [(F.floor(F.length("text") * k / STRETCHES) + 1).cast("int") for k in range(STRETCHES)]
+    cut = F.array(*(F.substring("text", at, F.lit(STRETCH)) for at in starts))
+    order = Window.partitionBy("lang").orderBy("h", "stretches")
+    ranked = near.select("lang", "h", cut.alias("stretches")).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= per_language).select("lang", "h", F.posexplode("stretches").alias("k", "stretch"))
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", epochs: int = EPOCHS) -> Network:

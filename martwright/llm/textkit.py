@@ -7,16 +7,16 @@ A word is a longest run of digits, ASCII letters (A-Z folded to a-z) and non-ASC
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from martwright.session import shared_dir
+from martwright.session import written
 
 #: Bytes of text handled at a time; bounds the arrays of a task. A longer text is handled alone.
 SLICE_BYTES = 1 << 20
@@ -177,15 +177,18 @@ def add_columns(
     return done.select(*(done[n].alias(c) for c, n in zip(kept, names, strict=True)), *(f.name for f in result))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once into the folder that all executors share and read it back: later uses don't recompute it.
+def bounded_sample(rows: DataFrame, hashed: Column, limit: int) -> DataFrame:
+    """The ``limit`` rows of smallest hash, then of smallest other columns; ``rows`` must be cheap to count.
 
-    The folder is removed when the session's JVM ends.
+    All but about one and a half times ``limit`` rows are left out by their hash before anything is sorted, so the one
+    task that picks the rest gets as many rows from a table of any size.
     """
-    spark: SparkSession = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    total = rows.count()
+    place = F.shiftrightunsigned(hashed, 1).cast("double") / float(1 << 63)
+    near = rows.filter(place < (1.5 * limit + 200) / max(total, 1))
+    return near.orderBy(hashed, *near.columns).limit(limit)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into the folder that all executors share and read it back: later uses don't recompute it."""
+    return written(df, f"llm-{name}")[0]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StructField
 
-from .textkit import BYTE_CODE, Powers, Words, add_columns, mix, slices, text_buffers, words_of
+from .textkit import BYTE_CODE, Powers, Words, add_columns, bounded_sample, mix, slices, text_buffers, words_of
 
 #: Kinds of group names; a name is swapped for the others of its kind.
 IDENTITY_TERMS = (
@@ -202,13 +202,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, doc_id: str
     """Labelled documents (doc_id, text, label) of smallest id hash, ``limit`` at most. Null labels are left out; of
     repeated labels for an id the largest counts."""
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).na.drop()
-    picked = (
-        known.groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-        .filter(~held_out(F.col("doc_id")))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(limit)
-    )
+    single = known.groupBy("doc_id").agg(F.max("label").alias("label")).filter(~held_out(F.col("doc_id")))
+    picked = bounded_sample(single, F.xxhash64("doc_id"), limit)
     return docs.join(picked, docs[doc_id] == picked["doc_id"], "inner").drop(picked["doc_id"])
 
 

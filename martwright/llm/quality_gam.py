@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from .textkit import add_columns, grams, slices, stage, text_buffers, words_of
+from .textkit import add_columns, bounded_sample, grams, slices, stage, text_buffers, words_of
 
 FEATURES = (
     "log_words", "word_length", "upper", "digits", "symbols", "stops", "exclamations", "bars", "spaces", "wide",
@@ -227,13 +227,8 @@ def fit(table: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str
     Rows are those of smallest id hash. Null labels are left out; of repeated labels for an id the largest counts.
     """
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("_label")).na.drop()
-    picked = (
-        known.groupBy("doc_id")
-        .agg(F.max("_label").alias("_label"))
-        .filter(~held_out(F.col("doc_id")))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(limit)
-    )
+    single = known.groupBy("doc_id").agg(F.max("_label").alias("_label")).filter(~held_out(F.col("doc_id")))
+    picked = bounded_sample(single, F.xxhash64("doc_id"), limit)
     rows = table.select(F.col(doc_id).alias("doc_id"), *FEATURES).join(picked, "doc_id")
     found = np.array(sorted(tuple(r) for r in rows.select("doc_id", "_label", *FEATURES).collect()), np.float64)
     found = found.reshape(-1, len(FEATURES) + 2)

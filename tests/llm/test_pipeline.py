@@ -60,6 +60,25 @@ def test_stages(spark, folder):
         assert sum(r.length for r in mine) == mine[0].doc_tokens
 
 
+@pytest.mark.parametrize("n_languages", [2, 4])
+def test_letters_in_no_language_go(spark, documents, n_languages):
+    import random
+
+    g = random.Random(8)
+    prose = PROSE | {"fr": "le la et les des est une dans pour pas que qui sur avec ce", "es": "el los las una con por para como pero su al lo más"}
+    text = lambda lang, n: " ".join(g.choice(prose[lang].split()) for _ in range(n))
+    languages = list(prose)[:n_languages]
+    docs, clean = None, set()
+    for k, lang in enumerate(languages):
+        rows = {1000 * k + i: text(lang, 60 if i else 6) for i in range(40)}
+        clean |= set(rows)
+        docs = documents(rows, lang) if docs is None else docs.unionByName(documents(rows, lang))
+    mixed = " ".join(text(lang, 1) for _ in range(60) for lang in languages)
+    docs = docs.unionByName(documents({9000: mixed, 9001: "12 34"}, None))
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.keep_known_languages(spark, docs, "").collect()}
+    assert set(kept) == clean and all(kept[1000 * k] == lang for k, lang in enumerate(languages))
+
+
 def test_run_on_empty_tables(spark, folder, tmp_path):
     path, _, _ = folder
     empty = tmp_path / "empty"

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from .textkit import Words, add_columns, slices, stage, text_buffers, words_of
 
@@ -38,6 +38,7 @@ RESULT = [
     StructField("hit_spans", ArrayType(_SPAN)),
     StructField("hit_items", ArrayType(StringType())),
 ]
+_UNNAMED = StructField("_hit_unnamed", BooleanType())
 
 
 def _load8(stream: np.ndarray) -> np.ndarray:
@@ -97,11 +98,11 @@ class PatternClass:
 class Patterns:
     """All windows of some items, ready to be searched."""
 
-    def __init__(self, items: Sequence[tuple[str, str]], window: int = WINDOW) -> None:
+    def __init__(self, items: Sequence[tuple[str | None, str]], window: int = WINDOW) -> None:
         texts = [text.encode("utf-8", "surrogatepass") for _, text in items]
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         words = words_of(np.frombuffer(b"".join(texts), np.uint8), offsets)
-        self.names = sorted({name for name, _ in items})
+        self.names = sorted({name for name, _ in items}, key=lambda n: (n is not None, n or ""))
         rank = {name: i for i, name in enumerate(self.names)}
         seen: dict[bytes, int] = {}
         offset, length, n_words, pairs = [], [], [], set()
@@ -188,7 +189,7 @@ class Patterns:
 def _work(patterns: Patterns):
     def work(column: pa.Array) -> dict[str, pa.Array]:
         data, offsets, _ = text_buffers(column)
-        n_words, n_hit, spans, items = [], [], [], []
+        n_words, n_hit, spans, items, unnamed = [], [], [], [], []
         for i, j in slices(offsets):
             words = words_of(data, offsets[i : j + 1])
             covered, docs, ranks = patterns.hits(words)
@@ -196,14 +197,19 @@ def _work(patterns: Patterns):
             n_hit.append(np.bincount(words.doc[covered], minlength=j - i))
             mine: list[list] = [[] for _ in range(j - i)]
             runs: list[list] = [[] for _ in range(j - i)]
+            nameless = [False] * (j - i)
             for d, r in zip(docs.tolist(), ranks.tolist(), strict=True):
-                mine[d].append(patterns.names[r])
+                if patterns.names[r] is None:
+                    nameless[d] = True
+                else:
+                    mine[d].append(patterns.names[r])
             for d in np.unique(words.doc[covered]).tolist():
                 low, high = words.first[d], words.first[d + 1]
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], covered[low:high].astype(np.int8), [0]])))
                 runs[d] = [{"first_word": int(a), "end_word": int(b)} for a, b in zip(edge[::2], edge[1::2], strict=True)]
             spans += runs
             items += mine
+            unnamed += nameless
         flat = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.empty(0, np.int64)
         span = pa.list_(pa.struct([("first_word", pa.int32()), ("end_word", pa.int32())]))
         return {
@@ -211,6 +217,7 @@ def _work(patterns: Patterns):
             "n_hit": pa.array(flat(n_hit)),
             "hit_spans": pa.array(spans, span),
             "hit_items": pa.array(items, pa.list_(pa.string())),
+            "_hit_unnamed": pa.array(unnamed, pa.bool_()),
         }
 
     return work
@@ -219,9 +226,9 @@ def _work(patterns: Patterns):
 def benchmark_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", limit: int = BLOCK_BYTES):
     """The items in blocks of about ``limit`` bytes of text, as lists of (id as text, text).
 
-    Rows with a null id or text have no windows. Rows of one id count as one item.
+    Rows with a null text have no windows. Rows of one id count as one item, and so do all rows without an id.
     """
-    items = benchmark.select(F.col(item_id).cast("string").alias("name"), F.col(text).cast("string").alias("text")).na.drop()
+    items = benchmark.select(F.col(item_id).cast("string").alias("name"), F.col(text).cast("string").alias("text")).na.drop(subset=["text"])
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-int(total) // limit))
     part = F.pmod(F.xxhash64("name", "text"), F.lit(n))
@@ -237,11 +244,14 @@ def find_contamination(
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
     keep: Sequence[str] | None = None,
+    unnamed: str | None = None,
 ) -> DataFrame:
     """Add n_words, n_hit, hit_spans (word ranges inside occurrences), hit_items and contaminated to each document.
 
     * A null or empty text has no words: 0, 0, no spans, no items, not contaminated.
-    * An empty benchmark, or items without words, hit nothing. Benchmark rows with a null id or text are left out.
+    * An empty benchmark, or items without words, hit nothing. Benchmark rows with a null text are left out.
+    * Benchmark rows without an id hit like all others, but have no name in hit_items. ``unnamed`` names a further
+      result column: whether such a row was hit.
     * Repeated documents are judged row by row; repeated benchmark rows change nothing.
     * Columns of ``docs`` named like a result are replaced; all others are returned (or those in ``keep``).
 
@@ -249,19 +259,22 @@ def find_contamination(
     and the rows of each pass are written to the shared folder before the next, which joins its hits to them.
     """
     kept = list(docs.columns if keep is None else keep)
-    results = [f.name for f in RESULT] + ["contaminated"]
-    final = [c for c in kept if c.lower() not in results]
+    results = [f.name for f in RESULT] + ["contaminated"] + ([unnamed] if unnamed else [])
+    final = [c for c in kept if c.lower() not in [r.lower() for r in results]]
     with_text = [*final, *((text,) if text not in final else ())]
     found, held = None, []
     for items in benchmark_blocks(benchmark, item_id, "text", block_bytes):
         source = docs
         if found is not None:  # another block: its hits join those found so far
-            held = ["_spans", "_items"]
-            source = stage(found, "decontaminate").withColumnsRenamed({"hit_spans": "_spans", "hit_items": "_items"})
+            held = ["_spans", "_items", "_unnamed"]
+            source = stage(found, "decontaminate").withColumnsRenamed(
+                {"hit_spans": "_spans", "hit_items": "_items", _UNNAMED.name: "_unnamed"}
+            )
         patterns = docs.sparkSession.sparkContext.broadcast(Patterns(items, window))
-        found = add_columns(source, text, RESULT, lambda c, p=patterns: _work(p.value)(c), [*with_text, *held])
+        found = add_columns(source, text, [*RESULT, _UNNAMED], lambda c, p=patterns: _work(p.value)(c), [*with_text, *held])
         found = _merged(found) if held else found
     marked = found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    marked = marked.withColumnRenamed(_UNNAMED.name, unnamed) if unnamed else marked
     return marked.select(*final, *results)
 
 
@@ -292,7 +305,8 @@ def _merged(found: DataFrame) -> DataFrame:
         found.withColumn("hit_spans", joined)
         .withColumn("n_hit", total)
         .withColumn("hit_items", F.array_sort(F.array_union("_items", "hit_items")))
-        .drop("_spans", "_items")
+        .withColumn(_UNNAMED.name, F.col("_unnamed") | F.col(_UNNAMED.name))
+        .drop("_spans", "_items", "_unnamed")
     )
 
 

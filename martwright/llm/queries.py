@@ -37,14 +37,14 @@ def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents against all benchmark items."""
+    """All documents against all benchmark items; rows without an id count as one item, outside the digest."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    found = find_contamination(docs, _table(spark, folder, "benchmark"), keep=["doc_id"])
+    found = find_contamination(docs, _table(spark, folder, "benchmark"), keep=["doc_id"], unnamed="unnamed")
     return found.select(
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("hit_items").cast("long").alias("n_items"),
+        (F.size("hit_items") + F.col("unnamed").cast("int")).cast("long").alias("n_items"),
         items_digest(F.col("hit_items")).alias("items_sha256"),
         "contaminated",
     )

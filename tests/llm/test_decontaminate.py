@@ -61,6 +61,29 @@ def test_equals_brute_force(frame, block):
     assert all(sum(s.end_word - s.first_word for s in r.hit_spans) == r.n_hit for r in rows)
 
 
+def test_rows_without_an_id_hit_as_in_the_sql(spark, frame, documents, tmp_path):
+    import duckdb
+    from oracle_check import compare
+
+    from martwright.llm.queries import queries
+    from martwright.llm.sql import oracle_sql
+
+    long = " ".join(f"word{k}" for k in range(30))
+    items = [(None, long), (None, "lone phrase"), (7, long + " more"), (8, "other words"), (9, None)]
+    docs = [(1, "a lone phrase here"), (2, long), (3, "other words, lone phrase"), (4, "nothing"), (5, None), (6, "other words")]
+    documents(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    frame("item_id long, text string", items).write.parquet(f"{tmp_path}/benchmark.parquet")
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    got = queries()["op2_decontamination"](spark, str(tmp_path))
+    assert compare(got, db, oracle_sql()["op2_decontamination"]) is None
+    rows = {r.doc_id: (r.n_items, r.contaminated) for r in got.collect()}
+    assert rows == {1: (1, True), 2: (2, True), 3: (2, True), 4: (0, False), 5: (0, False), 6: (1, True)}
+    blocks = find_contamination(documents(docs), frame("item_id long, text string", items), block_bytes=40, unnamed="U")
+    assert {r.doc_id for r in blocks.collect() if r.U} == {1, 2, 3}
+
+
 def test_empty_tables(frame):
     none = frame("item_id long, text string", [])
     docs = frame("doc_id long, text string", [(1, "a b c"), (2, None)])

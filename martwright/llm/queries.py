@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import format_conversations, read_back
@@ -13,6 +13,7 @@ from .jaccard_join import jaccard_join
 from . import language_id, quality_gam, quality_rules, toxicity
 from .pii import KINDS, find_pii, spans_text
 from .packing import pack
+from .periodic_runs import periodic_runs
 from .suffix_dedup import repeated_passages
 
 
@@ -122,6 +123,43 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def looped(doc_id: Column, text: Column) -> Column:
+    """The text, or for one id in ten (by checksum) its words from some place on said over and over, several times."""
+    spaces, mark = "[\\x20\\x09-\\x0D]+", F.crc32(doc_id.cast("string"))
+    rest = F.floor(mark / 10)
+
+    def of(words: Column) -> Column:
+        n = F.size(words)
+        start = (rest % n).cast("int")
+        period = 1 + F.floor((n - start) / (3 + rest % 8)).cast("int")
+        word = lambda i: F.get(words, F.when(i < start, i).otherwise(start + (i - start) % period))
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " ")).otherwise("")
+
+    words = F.array_remove(F.split(text, spaces), "")
+    return F.when(mark % 10 == 0, F.element_at(F.transform(F.array(words), of), 1)).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of all documents, of which one in ten repeats itself, and digests of runs and collapsed texts."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic_runs(docs.withColumn("text", looped(F.col("doc_id"), F.col("text"))), keep=["doc_id"])
+    # Of two runs the one of greater length / period, then the one found first; a null stands for none.
+    greater = lambda a, b: F.when(a["length"] * b["period"] < b["length"] * a["period"], b).otherwise(a)
+    best = F.reduce(F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))), F.get("runs", F.lit(0)), greater)
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select("doc_id", "collapsed", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines")).select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
@@ -133,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 

@@ -187,7 +187,53 @@ s AS MATERIALIZED (
     )
 
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5, "op6_suffix_dedup": OP6, "op10_quality_rules": _op10()}
+#: CRC-32 of a decimal number's text, bit by bit; 3988292384 is its reversed polynomial.
+_CRC32 = (
+    "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+    "lambda x: ascii(x)::BIGINT)), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], "
+    "lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)"
+)
+
+#: Of a run of period q, the 16 words at its start stand again q words later, and so do all after them up to its end.
+OP11 = f"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, {_CRC32} AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+loop AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a,
+    CASE WHEN h % 10 = 0 AND len(w) > 0 THEN 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) END AS p FROM w
+),
+d AS MATERIALIZED (
+  SELECT r, doc_id, CASE WHEN p IS NULL THEN w
+    ELSE list_transform(range(len(w)), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) END AS w FROM loop
+),
+word AS (SELECT r, i, w[i + 1] AS x FROM (SELECT r, w, unnest(range(len(w))) AS i FROM d)),
+gram AS (
+  SELECT r, i, md5(array_to_string(list_slice(w, i + 1, i + 16), ' ')) AS g
+  FROM (SELECT r, w, unnest(range(len(w) - 15)) AS i FROM d WHERE len(w) > 15)
+),
+same AS (SELECT r, a.i, b.i - a.i AS q FROM gram a JOIN gram b USING (r, g) WHERE a.i < b.i),
+island AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM same),
+stretch AS (SELECT r, q, min(i) AS start, max(i) + 16 + q - min(i) AS length FROM island GROUP BY r, q, k),
+run AS (
+  SELECT r, start, length, min(q) AS period FROM stretch WHERE length >= greatest(24, 3 * q) GROUP BY r, start, length
+),
+top AS (
+  SELECT DISTINCT ON (r) * FROM run ORDER BY r, CAST(length AS DOUBLE) / period DESC, start, period
+),
+lines AS (
+  SELECT r, count(*) AS n, string_agg(concat_ws(',', start, length, period) || chr(10), '' ORDER BY start, period) AS t
+  FROM run GROUP BY r
+),
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM run),
+rest AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(lines.t, '')) AS runs_sha256, sha256(coalesce(rest.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN top USING (r) LEFT JOIN lines USING (r) LEFT JOIN rest USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5, "op6_suffix_dedup": OP6, "op10_quality_rules": _op10(), "op11_periodic_runs": OP11}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -83,11 +83,14 @@ class Words:
         return mix((total[self.end] - total[self.start]) * down[self.start])
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """``data``: UTF-8 bytes of all texts; ``offsets``: where each begins, and the end."""
+def words_of(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = FOLD) -> Words:
+    """``data``: UTF-8 bytes of all texts; ``offsets``: where each begins, and the end.
+
+    ``fold`` maps bytes; those that become a space stand between words.
+    """
     n = len(offsets) - 1
     base, stop = int(offsets[0]), int(offsets[-1])
-    folded = FOLD[data[base:stop]]
+    folded = fold[data[base:stop]]
     inside = folded != SPACE
     cut = (offsets[1:-1] - base).astype(np.int64)
     cut = cut[(cut > 0) & (cut < len(folded))]

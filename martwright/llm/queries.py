@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat_format import format_conversations, read_back
 from .decontaminate import find_contamination, items_digest
+from .hard_negatives import mine
 from .jaccard_join import jaccard_join
 from . import language_id, quality_gam, quality_rules, toxicity
 from .pii import KINDS, find_pii, spans_text
@@ -160,6 +161,12 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, among all vectors; one label in seven is changed first."""
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(_table(spark, folder, "embeddings").withColumn("label", wrong), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
@@ -172,6 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 

@@ -233,7 +233,32 @@ SELECT doc_id, coalesce(n, 0) AS n_runs, start, length, period, 1000 * length //
 FROM d LEFT JOIN top USING (r) LEFT JOIN lines USING (r) LEFT JOIN rest USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5, "op6_suffix_dedup": OP6, "op10_quality_rules": _op10(), "op11_periodic_runs": OP11}
+OP12 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+k AS MATERIALIZED (SELECT row_number() OVER () AS r, * FROM v),
+score AS MATERIALIZED (
+  SELECT a.r, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS alike,
+    CAST(coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: coalesce(z[1] * z[2], 0))), 0) AS BIGINT) AS s
+  FROM (SELECT * FROM k WHERE vec_id % 100 = 0) a, k b WHERE a.r <> b.r
+),
+pos AS (
+  SELECT r, anchor_id, other, vec_id AS positive_id, s AS positive_score FROM score WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY s DESC, vec_id) <= 5
+)
+SELECT pos.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY pos.r, pos.other ORDER BY s DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, s AS negative_score
+FROM pos JOIN score ON score.r = pos.r AND NOT alike AND 80 * positive_score <= 100 * s AND 100 * s <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5, "op6_suffix_dedup": OP6, "op10_quality_rules": _op10(), "op11_periodic_runs": OP11, "op12_hard_negatives": OP12}
 
 
 def oracle_sql() -> dict[str, str]:

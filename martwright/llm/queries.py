@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.session import written
+
 from .chat_format import format_conversations, read_back
 from .decontaminate import find_contamination, items_digest
 from .hard_negatives import mine
@@ -15,6 +17,7 @@ from . import language_id, quality_gam, quality_rules, toxicity
 from .pii import KINDS, find_pii, spans_text
 from .packing import pack
 from .periodic_runs import periodic_runs
+from .secret_ledger import BASE_RULES, LEDGER, Ledger, find_secrets
 from .suffix_dedup import repeated_passages
 
 
@@ -167,6 +170,25 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return mine(_table(spark, folder, "embeddings").withColumn("label", wrong), F.col("vec_id") % 100 == 0)
 
 
+def op13_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents, through a new ledger."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    _, path = written(spark.createDataFrame([], LEDGER), "llm-secrets")
+    found = find_secrets(docs, Ledger(spark, path), keep=["doc_id"])
+    kinds = [r.kind for r in BASE_RULES]
+    base = F.filter("findings", lambda f: f["kind"].isin(kinds))
+    found_kinds = F.col("findings.kind")
+    counts = {k: (F.size(found_kinds) - F.size(F.array_remove(found_kinds, k))).cast("long") for k in kinds}
+    line = lambda spans: F.array_join(F.transform(spans, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
+    return found.select(
+        "doc_id",
+        *(c.alias(f"n_{k}") for k, c in counts.items()),
+        F.sha2(line(base), 256).alias("base_sha256"),
+        line(F.col("findings")).alias("spans"),
+        "blob",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_decontamination": op2_decontamination,
@@ -180,6 +202,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_secrets": op13_secrets,
 }
 
 

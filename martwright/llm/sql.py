@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .quality_rules import C_STEPS, CONSISTENCY, CUTOFF, LEAST_GROUP, SHARE, STATISTICS
+from .secret_ledger import BASE_RULES, RULES
 
 #: Words of ``TEXT``: A-Z folded, then runs of digits, letters and non-ASCII characters.
 _WORDS = (
@@ -258,7 +259,42 @@ FROM pos JOIN score ON score.r = pos.r AND NOT alike AND 80 * positive_score <=
 QUALIFY rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5, "op6_suffix_dedup": OP6, "op10_quality_rules": _op10(), "op11_periodic_runs": OP11, "op12_hard_negatives": OP12}
+
+
+def _op13() -> str:
+    """Matches of each rule, placed by the lengths of all pieces of the text before them."""
+
+    def matches(k: int) -> str:
+        rule, pattern = RULES[k], "'" + RULES[k].pattern.replace("'", "''") + "'"
+        return (
+            f"SELECT r, {k} AS k, '{rule.kind}' AS kind, {rule.least} AS least, regexp_extract_all(text, {pattern}) AS m, "
+            f"regexp_extract_all(text, {pattern}, {rule.group}) AS part, string_split_regex(text, {pattern}) AS rest "
+            f"FROM t WHERE regexp_matches(text, {pattern})"
+        )
+
+    count = lambda kind: f"count(*) FILTER (kind = '{kind}') AS n_{kind}"
+    line = "kind || ':' || start || ':' || (start + size)"
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({" UNION ALL ".join(matches(k) for k in range(len(RULES)))}),
+x AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM m),
+span AS (
+  SELECT r, k, kind, length(m[i]) AS size,
+    CAST(list_sum(list_transform(rest[1:i], lambda v: length(v))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda v: length(v))), 0) AS BIGINT) AS start
+  FROM x WHERE length(part[i]) >= least
+),
+per AS (
+  SELECT r, {", ".join(count(rule.kind) for rule in BASE_RULES)},
+    string_agg({line}, ',' ORDER BY start, k) FILTER (k < {len(BASE_RULES)}) AS base, string_agg({line}, ',' ORDER BY start, k) AS spans
+  FROM span GROUP BY r
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{rule.kind}, 0) AS n_{rule.kind}" for rule in BASE_RULES)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(text) AS blob
+FROM t LEFT JOIN per USING (r)
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": OP1, "op2_decontamination": OP2, "op5_jaccard_join": OP5, "op6_suffix_dedup": OP6, "op10_quality_rules": _op10(), "op11_periodic_runs": OP11, "op12_hard_negatives": OP12, "op13_secrets": _op13()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -23,5 +23,5 @@ def test_one_query_for_each_operator_and_the_pipeline():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))
     assert set(queries()) <= names

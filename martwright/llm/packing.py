@@ -7,6 +7,8 @@ other; each task then cuts the token stream of its stretch of the curve into seq
 
 from __future__ import annotations
 
+import ctypes
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,8 +25,9 @@ from .textkit import Words, add_columns, slices, stage, text_buffers, words_of
 SEQUENCE = 1024
 HASHED = 256  #: size of a hashed document vector
 DIMS, BITS = 4, 12  #: projected dimensions, and bits of a coordinate
-#: Tokenized stretches a worker remembers; beyond that it forgets them all and starts over. Results don't depend on it.
-REMEMBERED = 400_000
+#: Bytes of tokenized stretches of each of the two generations that a worker remembers, and what an entry takes besides its
+#: text and ids. A full generation takes the place of the one before. Results don't depend on it.
+REMEMBERED, ENTRY = 48 << 20, 220
 
 _PROJECTION = np.random.default_rng(5).standard_normal((HASHED, DIMS))
 
@@ -86,41 +89,58 @@ class _Tokens:
         import tiktoken
         from tokenizers import Tokenizer
 
-        self._full = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        self._special = [t.content for t in self._full.get_added_tokens_decoder().values()]
+        self._load = lambda: Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+        full = self._load()
+        self._full: Tokenizer | None = None  # kept from the first text on that needs it
+        self._special = [t.content for t in full.get_added_tokens_decoder().values()]
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self._fast = tiktoken.Encoding(
             name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        self.kind = "<u2" if self._full.get_vocab_size() <= 1 << 16 else "<u4"
+        self.kind = "<u2" if full.get_vocab_size() <= 1 << 16 else "<u4"
+        self._code = "H" if self.kind == "<u2" else "I"
         self._odd = re.compile(r" (?![!-~]|\w)")
         self._cut = re.compile(r" (?=[!-~]|\w)")
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._weight = 0
 
-    def _ids(self, stretch: str) -> bytes:
-        if any(s in stretch for s in self._special):
-            ids = self._full.encode(stretch, add_special_tokens=False).ids
-        else:
-            ids = self._fast.encode_ordinary(stretch)
-        return np.array(ids, self.kind).tobytes()
+    def _plain(self, stretch: str) -> bytes:
+        ids = self._fast.encode_ordinary(stretch)
+        return struct.pack(f"<{len(ids)}{self._code}", *ids)
+
+    def _any(self, stretch: str) -> bytes:
+        if not any(s in stretch for s in self._special):
+            return self._plain(stretch)
+        self._full = self._full or self._load()
+        return np.array(self._full.encode(stretch, add_special_tokens=False).ids, self.kind).tobytes()
 
     def encode(self, text: str) -> bytes:
         parts = self._cut.split(text) if self._odd.search(text) else text.split(" ")
-        known = self._known
-        if len(known) > REMEMBERED:
-            known.clear()
-        head = self._ids(parts[0])
+        ids_of = self._any if any(s in text for s in self._special) else self._plain
+        head = ids_of(parts[0])
         rest = parts[1:]
+        if self._weight > REMEMBERED:
+            self._known, self._older, self._weight = {}, self._known, 0
+        known, older = self._known, self._older
         try:
             return head + b"".join(map(known.__getitem__, rest))
         except KeyError:
-            for part in set(rest):
-                if part not in known:
-                    known[part] = self._ids(" " + part)
+            for part in set(rest).difference(known):
+                known[part] = ids = older.get(part) or ids_of(" " + part)
+                self._weight += ENTRY + 2 * len(part) + len(ids)
             return head + b"".join(map(known.__getitem__, rest))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, beside the tasks of other operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 @lru_cache(maxsize=1)
 def _tokens(name: str) -> _Tokens:
     return _Tokens(name)
@@ -138,11 +158,14 @@ def _prepare(name: str, last: int):
             for k in range(i, j):
                 text = "" if nulls[k] else data[offsets[k] : offsets[k + 1]].tobytes().decode()
                 blobs.append((tokens.encode(text) if text else b"") + end)
-        return {
+        made = {
             "curve_key": pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)),
             "ids": pa.array(blobs, pa.binary()),
             "id_bytes": pa.array([width] * len(blobs), pa.int64()),
         }
+        del blobs
+        give_back()
+        return made
 
     return work
 

@@ -294,9 +294,38 @@ FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
     "x_instrument": """
 SELECT DISTINCT o_custkey AS account_id, concat_ws('|', strftime(o_orderdate, '%Y-%m-%d'), o_orderpriority, o_orderstatus,
   CAST(floor(o_totalprice / 20000) AS INTEGER)) AS value FROM orders""",
+    "x_network": """
+SELECT * FROM (
+  SELECT n_nationkey AS office, unnest([{'prefix': '.0.0/16', 'length': 16, 'k': NULL, 'low': 0, 'high': 255},
+    {'prefix': '.0.0/24', 'length': 24, 'k': 0, 'low': 0, 'high': 255}, {'prefix': '.25.0/24', 'length': 24, 'k': 25, 'low': 0, 'high': 255},
+    {'prefix': '.50.0/24', 'length': 24, 'k': 50, 'low': 0, 'high': 255}, {'prefix': '.75.0/24', 'length': 24, 'k': 75, 'low': 0, 'high': 255},
+    {'prefix': '.50.16/28', 'length': 28, 'k': 50, 'low': 16, 'high': 31}], recursive := true) FROM nation)""",
+    "x_net": f"""
+SELECT event_id, user_id AS account_id, '10.' || (user_id % 12) || '.' || {_K} || '.' || (event_id % 250) AS ip_address,
+  '10.' || office || prefix AS matched_prefix, length AS matched_length
+FROM events LEFT JOIN x_network ON office = user_id % 12 AND coalesce(k = CAST({_K} AS INTEGER), TRUE)
+  AND event_id % 250 BETWEEN low AND high
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY length DESC) = 1""",
+    "x_attribute": """
+SELECT account_id, 'instrument' AS attribute, lower(value) AS value FROM x_instrument
+UNION SELECT c_custkey, 'address', concat_ws(' ', ltrim(CAST(CAST(floor(c_acctbal / 100) AS BIGINT) AS VARCHAR), '-'),
+  lower(c_mktsegment), 'st', c_nationkey) FROM customer
+UNION SELECT account_id, 'subnet', CASE WHEN matched_length >= 24 THEN matched_prefix END FROM x_net""",
+    "x_pay": """
+  SELECT CAST(n_nationkey AS BIGINT) AS merchant_id, mail, since, lead(since) OVER (PARTITION BY n_nationkey ORDER BY since) AS until
+  FROM (
+    SELECT n_nationkey, lower(n_name) || '@payout.example' AS mail, TIMESTAMP '1990-01-01' AS since FROM nation
+    UNION ALL SELECT n_nationkey, 'shared@payout.example', DATE '1994-06-01' + n_nationkey * 45 FROM nation WHERE n_nationkey % 3 = 2
+    UNION ALL SELECT n_nationkey, lower(n_name) || '@payout.example', DATE '1996-01-01' + n_nationkey * 45 FROM nation WHERE n_nationkey % 6 = 5
+    UNION ALL SELECT n_nationkey, NULL, DATE '1998-01-01' + n_nationkey * 7 FROM nation WHERE n_nationkey % 4 = 1)""",
+    "x_listed": """
+SELECT * FROM (VALUES (' Nation_5@Payout.Example', TIMESTAMP '1993-01-01', NULL),
+  ('nation_17@payout.example', TIMESTAMP '1993-01-01', NULL), ('extra@payout.example', TIMESTAMP '1993-01-01', NULL),
+  ('Shared@Payout.example', TIMESTAMP '1993-01-01', TIMESTAMP '1995-07-01'), ('shared@payout.example', TIMESTAMP '1996-10-01', NULL)) r(entry, since, until)""",
     "x_star": """
-SELECT 'instrument' AS attribute, value, account_id, min(account_id) OVER g AS anchor, count(*) OVER g AS group_size
-FROM x_instrument WINDOW g AS (PARTITION BY value) QUALIFY group_size > 1""",
+SELECT attribute, value, account_id, min(account_id) OVER g AS anchor, count(*) OVER g AS group_size
+FROM (SELECT DISTINCT * FROM x_attribute WHERE value IS NOT NULL)
+WINDOW g AS (PARTITION BY attribute, value) QUALIFY group_size > 1""",
     "x_console": """
 SELECT CAST(floor(c_custkey / 50.0) AS BIGINT) AS page_no, c_custkey, c_acctbal FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
     "x_timing": f"""
@@ -432,6 +461,15 @@ SELECT shop_id, '2001-08-02' AS calculation_date, week({_ASOF}) AS reporting_wee
   {_pct('pct_direct_traffic_l30d', 'pct_direct_traffic_l30d')} FROM x_metrics""",
     "merchant_daily_metrics": "SELECT * FROM x_windowed",
     "restricted_registry_match": "SELECT * FROM x_restricted",
+    "restricted_destination_as_of": """
+SELECT settlement_id, CAST(count(entry) > 0 AS INTEGER) AS is_destination_restricted,
+  string_agg(DISTINCT entry, ', ' ORDER BY entry) AS flagged_destination_emails
+FROM x_request r LEFT JOIN (
+  SELECT merchant_id, entry, pay.since AS a, pay.until AS b, listed.since AS c, listed.until AS d
+  FROM x_pay pay JOIN x_listed listed ON mail = lower(trim(entry))) p
+ON p.merchant_id = r.merchant_id AND made_at >= a AND made_at < coalesce(b, TIMESTAMP '9999-01-01')
+  AND made_at >= c AND made_at < coalesce(d, TIMESTAMP '9999-01-01')
+GROUP BY settlement_id""",
     "restricted_destination_check": """
 SELECT settlement_id, is_matched AS is_destination_restricted, flagged_destination_emails
 FROM x_pending JOIN x_restricted USING (merchant_id)""",
@@ -568,7 +606,7 @@ FROM (SELECT o_orderkey AS order_id, b.n_name AS bill, s.n_name AS ship, CASE WH
     "account_linkage_signal": """
 SELECT a.account_id, coalesce(n, 0) AS shared_values, coalesce(largest, 0) AS largest_group,
   CASE WHEN n > 0 THEN 1 ELSE 0 END AS sig_cross_account_linkage
-FROM (SELECT DISTINCT account_id FROM x_instrument) a
+FROM (SELECT DISTINCT account_id FROM x_attribute) a
 LEFT JOIN (SELECT account_id, count(*) AS n, max(group_size) AS largest FROM x_star GROUP BY 1) USING (account_id)""",
     "account_groups": """
 SELECT account_id, min(reached) AS group_id FROM x_reach GROUP BY 1""",
@@ -578,6 +616,17 @@ SELECT p.event_id AS order_id, p.ip AS order_ip, CASE WHEN s.ts >= p.ts - INTERV
 FROM (SELECT *, '10.0.0.' || {_K} AS ip FROM events WHERE event_type = 'purchase') p
 ASOF LEFT JOIN (SELECT user_id, ts, arg_max('10.0.0.' || {_K}, event_id) AS ip FROM events
   WHERE event_type IN ('view', 'click') GROUP BY 1, 2) s ON s.user_id = p.user_id AND s.ts <= p.ts""",
+    "network_prefixes": "SELECT event_id, ip_address, matched_prefix, matched_length FROM x_net",
+    "session_ip_any_mismatch": f"""
+SELECT order_id, order_ip, same_ip_seen, other_ip_seen, other_ip_seen AS sig_order_session_ip_any_mismatch,
+  CASE WHEN other_ip_seen = 1 AND same_ip_seen = 0 THEN 1 ELSE 0 END AS sig_order_session_ip_never_matched
+FROM (
+  SELECT p.event_id AS order_id, any_value(p.ip) AS order_ip, coalesce(max(CAST(s.ip = p.ip AS INTEGER)), 0) AS same_ip_seen,
+    coalesce(max(CAST(s.ip <> p.ip AS INTEGER)), 0) AS other_ip_seen
+  FROM (SELECT *, '10.0.0.' || {_K} AS ip FROM events WHERE event_type = 'purchase') p
+  LEFT JOIN (SELECT user_id, ts, '10.0.0.' || {_K} AS ip FROM events WHERE event_type IN ('view', 'click')) s
+    ON s.user_id = p.user_id AND s.ts <= p.ts AND s.ts >= p.ts - INTERVAL 24 HOUR
+  GROUP BY 1)""",
     "id_pages": """
 SELECT page_no, 1 AS page_part, string_agg(CAST(c_custkey AS VARCHAR), ', ' ORDER BY c_custkey) AS id_text, count(*) AS id_count FROM x_console GROUP BY 1""",
     "filter_by_ids": """
@@ -608,7 +657,7 @@ _QUERIES["run_metrics_sink"] = _QUERIES["run_statistics"]
 _ROLES["x_reach"] = """
 SELECT account_id, account_id AS reached FROM x_star
 UNION
-SELECT DISTINCT r.account_id, b.account_id FROM x_reach r JOIN x_star a ON a.account_id = r.reached JOIN x_star b ON b.value = a.value"""
+SELECT DISTINCT r.account_id, b.account_id FROM x_reach r JOIN x_star a ON a.account_id = r.reached JOIN x_star b ON b.attribute = a.attribute AND b.value = a.value"""
 
 _NAME = re.compile(r"\bx_[a-z_]+\b")
 

@@ -15,7 +15,7 @@ from pyspark.sql.types import DecimalType
 
 from ..config import BillingConfig, CheckoutConfig, ConsolidatedConfig, MerchantHealthConfig, SettlementConfig
 from ..functions import as_of_day, days_between, map_code, pair, pct_text, regex_flag, safe_div, zero_if_null
-from ..operators import features, gateways, linkage, metrics, registry
+from ..operators import features, gateways, linkage, metrics, networks, ranges, registry
 from ..operators.adjustments import apply_adjustments
 from ..operators.joins import filter_ids, id_list, with_config
 from ..operators.temporal import as_of_join, rolling_per_event, time_bounds
@@ -218,6 +218,13 @@ def restricted_registry_match(star: SampleStar) -> DataFrame:
 # ---- settlement ----------------------------------------------------------------------------
 
 
+@_register
+def restricted_destination_as_of(star: SampleStar) -> DataFrame:
+    return registry.restricted_destinations_as_of(
+        star["fact_settlement_request"], star["fact_merchant_payout_change"], star["ref_restricted_account_change"]
+    )
+
+
 @_register
 def restricted_destination_check(star: SampleStar) -> DataFrame:
     return registry.restricted_destinations(
@@ -563,33 +570,37 @@ def ip_footprint(star: SampleStar) -> DataFrame:
     return features.ip_footprint(star["web_sessions"])
 
 
-def _shared_instruments(star: SampleStar) -> DataFrame:
-    """Customers with the payment fingerprint of each order."""
+def _shared_attributes(star: SampleStar) -> DataFrame:
+    """Customers with the payment fingerprint of each order, their address and the subnets they were used from."""
     price_class = F.floor(F.col("o_totalprice") / 20000).cast("int")
     token = F.concat_ws("|", F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority", "o_orderstatus", price_class)
-    return star.raw("orders").select(
-        F.col("o_custkey").alias("account_id"), F.lit("instrument").alias("attribute"), token.alias("value")
-    )
+    paid = star.raw("orders").select(F.col("o_custkey").alias("account_id"), token.alias("instrument"))
+    return linkage.linkage_attributes(paid, star["account_address"], star["account_session"], star["ref_network_prefix"])
+
+
+@_register
+def network_prefixes(star: SampleStar) -> DataFrame:
+    sessions = star["account_session"].select("event_id", "ip_address")
+    return networks.longest_prefix(sessions, "ip_address", star["ref_network_prefix"])
 
 
 @_register
 def account_links(star: SampleStar) -> DataFrame:
-    return linkage.link_entities(_shared_instruments(star), "account_id", "attribute", "value")
+    return linkage.link_entities(_shared_attributes(star), "account_id", "attribute", "value")
 
 
 @_register
 def account_linkage_signal(star: SampleStar) -> DataFrame:
-    return linkage.linkage_signal(_shared_instruments(star), "account_id", "attribute", "value")
+    return linkage.linkage_signal(_shared_attributes(star), "account_id", "attribute", "value")
 
 
 @_register
 def account_groups(star: SampleStar) -> DataFrame:
-    stars = linkage.link_entities(_shared_instruments(star), "account_id", "attribute", "value")
+    stars = linkage.link_entities(_shared_attributes(star), "account_id", "attribute", "value")
     return linkage.account_groups(stars, "account_id")
 
 
-@_register
-def session_ip_mismatch(star: SampleStar) -> DataFrame:
+def _purchases_and_sessions(star: SampleStar) -> tuple[DataFrame, DataFrame]:
     events = star.raw("events").withColumn("ip", F.concat(F.lit("10.0.0."), F.expr(EVENT_K)))
     purchases = events.filter("event_type = 'purchase'").select(
         F.col("event_id").alias("order_id"), "user_id", F.col("ts").alias("ordered_at"), F.col("ip").alias("order_ip")
@@ -597,11 +608,23 @@ def session_ip_mismatch(star: SampleStar) -> DataFrame:
     sessions = events.filter("event_type in ('view', 'click')").select(
         F.col("event_id").alias("session_id"), "user_id", F.col("ts").alias("seen_at"), F.col("ip").alias("ip_address")
     )
+    return purchases, sessions
+
+
+@_register
+def session_ip_mismatch(star: SampleStar) -> DataFrame:
+    purchases, sessions = _purchases_and_sessions(star)
     return features.session_ip_mismatch(
         purchases, sessions, "user_id", "ordered_at", "seen_at", "24 hours"
     ).select("order_id", "order_ip", "session_ip", "sig_order_session_ip_mismatch")
 
 
+@_register
+def session_ip_any_mismatch(star: SampleStar) -> DataFrame:
+    purchases, sessions = _purchases_and_sessions(star)
+    return ranges.session_ip_any_mismatch(purchases, sessions, "order_id", "user_id", "ordered_at", "seen_at").drop("user_id", "ordered_at")
+
+
 # ---- ids, adjustments, sinks ---------------------------------------------------------------
 
 

@@ -21,6 +21,11 @@ def blank_to_null(value: Column | str) -> Column:
     return F.nullif(as_col(value), F.lit(""))
 
 
+def address_key(value: Column | str) -> Column:
+    """Join key for postal addresses: lower-case letters and digits, words apart by one space; NULL if there are none."""
+    return blank_to_null(F.trim(F.regexp_replace(F.lower(as_col(value)), r"[^\p{L}\p{N}]+", " ")))
+
+
 def code_list(name: str, separator: str = ", ", distinct: bool = True) -> Column:
     """Aggregate: the group's values of column ``name`` as sorted text, NULL when there is none.
 

@@ -9,8 +9,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import address_key, blank_to_null, norm_key
 from ..session import discard, written
 from .joins import attach
+from .networks import longest_prefix
+
+#: A network of fewer fixed bits belongs to a carrier rather than to an office, and links nobody.
+SUBNET_BITS = 24
+
+
+def linkage_attributes(
+    instruments: DataFrame, addresses: DataFrame, sessions: DataFrame, prefixes: DataFrame, entity: str = "account_id",
+    instrument: str = "instrument", address: str = "address", ip: str = "ip_address", prefix: str = "prefix",
+    subnet_bits: int = SUBNET_BITS,
+) -> DataFrame:
+    """(entity, attribute, value): what accounts may share, for :func:`link_entities` and :func:`account_groups`.
+
+    Instruments are compared without case and outer spaces, business addresses without case, punctuation and spacing.
+    A session address stands for the most specific known network that holds it, if that has ``subnet_bits`` or more.
+    """
+    nets = longest_prefix(sessions.select(entity, ip).distinct(), ip, prefixes, prefix, "_net")
+    return (
+        instruments.select(entity, F.lit("instrument").alias("attribute"), blank_to_null(norm_key(instrument)).alias("value"))
+        .unionByName(addresses.select(entity, F.lit("address").alias("attribute"), address_key(address).alias("value")))
+        .unionByName(
+            nets.select(entity, F.lit("subnet").alias("attribute"), F.when(F.col("_net_length") >= subnet_bits, F.col("_net_prefix")).alias("value"))
+        )
+    )
 
 
 def link_entities(df: DataFrame, entity: str, attribute: str, value: str) -> DataFrame:

@@ -378,6 +378,59 @@ class SampleStar:
     def ref_restricted_account_registry(self) -> DataFrame:
         return self._literal("restricted_email string", [(m,) for m in RESTRICTED_MAILS])
 
+    @cached_property
+    def fact_merchant_payout_change(self) -> DataFrame:
+        """Change log of payout settings: the own account, for some the shared one later on, for some none in the end."""
+        key = F.col("n_nationkey")
+        change = lambda no, mail, at, when=F.lit(True): F.when(
+            when, F.struct(F.lit(no).alias("no"), mail.alias("mail"), at.cast("timestamp").alias("at"))
+        )
+        own = F.concat(F.col("n_name"), F.lit("@Payout.Example "))
+        steps = F.array(
+            change(0, own, F.lit("1990-01-01")),
+            change(1, F.lit("shared@payout.example"), F.date_add(F.lit("1994-06-01").cast("date"), key * 45), key % 3 == 2),
+            change(2, own, F.date_add(F.lit("1996-01-01").cast("date"), key * 45), key % 6 == 5),
+            change(3, F.lit(None).cast("string"), F.date_add(F.lit("1998-01-01").cast("date"), key * 7), key % 4 == 1),
+        )
+        return self.raw("nation").select(key.cast("bigint").alias("merchant_id"), F.explode(F.array_compact(steps)).alias("s")).select(
+            "merchant_id", F.lit(1).alias("setting_id"), F.col("s.no").alias("change_id"),
+            F.col("s.mail").alias("payout_destination_email"), F.col("s.at").alias("changed_at"),
+        )
+
+    @cached_property
+    def ref_restricted_account_change(self) -> DataFrame:
+        """Change log of the registry: all listed at first, the shared account off and on again."""
+        rows = [(m, k, True, "1993-01-01") for k, m in enumerate(RESTRICTED_MAILS)]
+        shared = RESTRICTED_MAILS[-1]
+        rows += [(shared, 10, False, "1995-07-01"), (shared.lower(), 11, True, "1996-10-01")]
+        raw = self._literal("restricted_email string, change_id int, is_listed boolean, changed_on string", rows)
+        return raw.withColumn("changed_at", F.col("changed_on").cast("timestamp")).drop("changed_on")
+
+    @cached_property
+    def account_address(self) -> DataFrame:
+        """Business addresses of customers, spelled in two ways."""
+        parts = [F.floor(F.col("c_acctbal") / 100).cast("string"), F.initcap("c_mktsegment"), F.lit("St"), F.col("c_nationkey").cast("string")]
+        return self.raw("customer").select(
+            F.col("c_custkey").alias("account_id"),
+            F.when(F.col("c_custkey") % 2 == 0, F.concat_ws(" ", *parts)).otherwise(F.upper(F.concat_ws("., ", *parts))).alias("address"),
+        )
+
+    @cached_property
+    def account_session(self) -> DataFrame:
+        """Addresses that accounts were used from: twelve offices, of a hundred subnets each."""
+        host = F.col("event_id") % 250
+        return self.raw("events").select(
+            "event_id", F.col("user_id").alias("account_id"),
+            F.concat_ws(".", F.lit("10"), F.col("user_id") % 12, F.expr(EVENT_K), host).alias("ip_address"),
+        )
+
+    @cached_property
+    def ref_network_prefix(self) -> DataFrame:
+        """Known networks: one of 16 bits for each nation, in it four of 24 bits, in one of these one of 28 bits."""
+        at = lambda rest: F.concat(F.lit("10."), F.col("n_nationkey"), F.lit(rest))
+        nets = [".0.0/16", *(f".{k}.0/24" for k in (0, 25, 50, 75)), ".50.16/28"]
+        return self.raw("nation").select(F.explode(F.array(*(at(n) for n in nets))).alias("prefix"))
+
     @cached_property
     def fact_merchant_account_balance(self) -> DataFrame:
         """Balance: what the merchant's finished orders brought, in the requests' scale."""

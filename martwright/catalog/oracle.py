@@ -616,6 +616,11 @@ SELECT p.event_id AS order_id, p.ip AS order_ip, CASE WHEN s.ts >= p.ts - INTERV
 FROM (SELECT *, '10.0.0.' || {_K} AS ip FROM events WHERE event_type = 'purchase') p
 ASOF LEFT JOIN (SELECT user_id, ts, arg_max('10.0.0.' || {_K}, event_id) AS ip FROM events
   WHERE event_type IN ('view', 'click') GROUP BY 1, 2) s ON s.user_id = p.user_id AND s.ts <= p.ts""",
+    "daily_metrics_incremental": "SELECT * FROM x_windowed",
+    "ip_footprint_windows": f"""
+SELECT user_id AS shop_id, count(DISTINCT k) FILTER (d <= 4) AS unique_ips_l3d, count(DISTINCT k) FILTER (d <= 8) AS unique_ips_l7d,
+  count(DISTINCT k) AS unique_ips_l30d
+FROM (SELECT user_id, {_K} AS k, date_diff('day', CAST(ts AS DATE), {_EVENT_ASOF}) AS d FROM events) WHERE d BETWEEN 1 AND 31 GROUP BY 1""",
     "network_prefixes": "SELECT event_id, ip_address, matched_prefix, matched_length FROM x_net",
     "session_ip_any_mismatch": f"""
 SELECT order_id, order_ip, same_ip_seen, other_ip_seen, other_ip_seen AS sig_order_session_ip_any_mismatch,
@@ -650,6 +655,7 @@ FROM (SELECT max(mean_ms) FILTER (event_type = 'view') AS v, max(mean_ms) FILTER
 
 _QUERIES["settlement_mart_as_of"] = _QUERIES["settlement_mart"].replace("x_ledger ", "x_ledger_then ")
 _QUERIES["settlement_mart_exclude_self"] = _QUERIES["settlement_mart"].replace("x_ledger ", "x_ledger_self ")
+_QUERIES["mart_snapshot"] = _QUERIES["consolidated_merchant_mart"]
 _QUERIES["mart_sink"] = _QUERIES["consolidated_merchant_mart"]
 _QUERIES["run_metrics_sink"] = _QUERIES["run_statistics"]
 

@@ -18,9 +18,11 @@ from ..functions import as_of_day, days_between, map_code, pair, pct_text, regex
 from ..operators import features, gateways, linkage, metrics, networks, ranges, registry
 from ..operators.adjustments import apply_adjustments
 from ..operators.joins import filter_ids, id_list, with_config
+from ..operators.partials import DayStore, LastDays, Measure, days_of
 from ..operators.temporal import as_of_join, rolling_per_event, time_bounds
 from ..plans import billing, checkout, consolidated, merchant360, settlement, triage
-from ..session import shared_dir
+from ..session import shared_dir, written
+from ..snapshots import SnapshotTable
 from ..sources.files import read_csv, write_csv, write_mart, write_run_metrics
 from ..sources.sample_star import EVENT_K, EVENTS_AS_OF, ORDERS_AS_OF, PENDING, SampleStar, cents, money, scaled
 
@@ -208,6 +210,20 @@ def merchant_daily_metrics(star: SampleStar) -> DataFrame:
     return star.windowed_metrics
 
 
+@_register
+def daily_metrics_incremental(star: SampleStar) -> DataFrame:
+    """The daily metrics from stored partials: first without a late batch, then with its days computed again."""
+    orders, events = star["dim_order_large"], star["funnel_events"]
+    store = features.DailyMetrics(star.spark, _scratch(star, "daily-metrics"), orders.schema, events.schema)
+    month = [F.col("order_created_at") >= F.date_sub(F.lit(ORDERS_AS_OF), 31), F.col("order_created_at") < F.lit(ORDERS_AS_OF)]
+    recent = orders.filter(month[0] & month[1])
+    late = F.col("order_id") % 40 == 3
+    store.refresh_orders(orders.filter(~late), days_of(recent.filter(~late), "order_created_at"))
+    store.refresh_orders(orders, days_of(recent.filter(late), "order_created_at"))
+    store.refresh_events(events, days_of(events, "created_at"))
+    return store.metrics(ORDERS_AS_OF, EVENTS_AS_OF)
+
+
 @_register
 def restricted_registry_match(star: SampleStar) -> DataFrame:
     return registry.restricted_merchants(
@@ -570,6 +586,18 @@ def ip_footprint(star: SampleStar) -> DataFrame:
     return features.ip_footprint(star["web_sessions"])
 
 
+@_register
+def ip_footprint_windows(star: SampleStar) -> DataFrame:
+    """Distinct session addresses per shop over several windows, from one stored sketch per shop and day."""
+    sessions = star.raw("events").select(
+        F.col("user_id").alias("shop_id"), "ts", F.concat(F.lit("10.0.0."), F.expr(EVENT_K)).alias("ip_address")
+    )
+    store = DayStore(star.spark, _scratch(star, "ip-footprint"), ["shop_id"], "ts", [Measure("ips", "distinct", F.col("ip_address"))])
+    store.refresh(sessions, days_of(sessions, "ts"))
+    wanted = [LastDays(f"unique_ips_l{n}d", "ips", n) for n in (3, 7, 30)]
+    return store.windows(store.schema(sessions), EVENTS_AS_OF, wanted)
+
+
 def _shared_attributes(star: SampleStar) -> DataFrame:
     """Customers with the payment fingerprint of each order, their address and the subnets they were used from."""
     price_class = F.floor(F.col("o_totalprice") / 20000).cast("int")
@@ -628,6 +656,12 @@ def session_ip_any_mismatch(star: SampleStar) -> DataFrame:
 # ---- ids, adjustments, sinks ---------------------------------------------------------------
 
 
+def _scratch(star: SampleStar, name: str) -> str:
+    """A new folder that executors share, which goes with the session."""
+    empty = star.spark.createDataFrame([], "nothing int")
+    return f"{written(empty, name)[1]}/table"
+
+
 def _console(star: SampleStar) -> DataFrame:
     """Customers as console rows: 50 to a page; some ids are names and not numeric."""
     return star.raw("customer").select(
@@ -691,6 +725,16 @@ def mart_sink(star: SampleStar) -> DataFrame:
     return star.spark.read.parquet(path)
 
 
+@_register
+def mart_snapshot(star: SampleStar) -> DataFrame:
+    """The consolidated mart published twice as a snapshot and read back, after older snapshots were retired."""
+    table, mart = SnapshotTable(star.spark, _scratch(star, "mart-snapshot")), consolidated_merchant_mart(star)
+    table.replace(mart.limit(0))
+    table.replace(mart)
+    table.retire(keep=1)
+    return table.read(mart.schema)
+
+
 @_register
 def run_metrics_sink(star: SampleStar) -> DataFrame:
     """Run statistics written as JSON lines to the shared folder and read back."""

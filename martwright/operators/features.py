@@ -6,10 +6,12 @@ window over the raw rows would bring a hot value's rows into one task.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import (
     as_of_day,
@@ -21,6 +23,7 @@ from ..functions import (
     safe_div,
 )
 from .joins import attach
+from .partials import DayStore, LastDays, Measure
 from .temporal import Rolling, as_of_join, rolling_as_of
 
 
@@ -203,6 +206,38 @@ DIRECT_SOURCES = ("direct", "")
 SOCIAL_SOURCES = ("facebook", "tiktok")
 
 
+def _sales() -> tuple[list[Measure], list[LastDays]]:
+    source = F.lower(F.trim("order_traffic_source"))
+    measures = [
+        Measure("profit", "avg", F.col("merchant_profit")),
+        Measure("gmv", "avg", F.col("gmv")),
+        Measure("top_line", "max", F.col("max_raw_price_lineitem")),
+        Measure("orders", "count", F.lit(1)),
+        Measure("direct", "count", F.when(source.isin(*DIRECT_SOURCES), 1)),
+        Measure("social", "count", F.when(source.isin(*SOCIAL_SOURCES), 1)),
+    ]
+    windows = [
+        *(LastDays(f"avg_profit_l{n}d", "profit", n) for n in (3, 7, 30)),
+        *(LastDays(f"avg_gmv_l{n}d", "gmv", n) for n in (3, 7, 30)),
+        *(LastDays(f"max_lineitem_gmv_l{n}d", "top_line", n) for n in (3, 7)),
+        *(LastDays(f"_{m}_l{n}d", m, n) for m in ("orders", "direct") for n in (3, 7, 30)),
+        LastDays("_social_l30d", "social", 30),
+    ]
+    return measures, windows
+
+
+def _funnel() -> tuple[list[Measure], list[LastDays]]:
+    name = F.col("event_name")
+    measures = [Measure("views", "count", F.when(name == "view", 1)), Measure("buys", "count", F.when(name == "purchase", 1))]
+    return measures, [LastDays(f"_{m.name}_l{n}d", m.name, n) for m in measures for n in (3, 7, 30)]
+
+
+def _in_one_pass(df: DataFrame, key: str, ts: str, day: Column, stated: tuple[list[Measure], list[LastDays]], extra_days: int) -> DataFrame:
+    of = {m.name: m for m in stated[0]}
+    specs = [Rolling(w.name, of[w.measure].kind, of[w.measure].value, w.days, extra_days) for w in stated[1]]
+    return rolling_as_of(df, [key], ts, day, specs)
+
+
 def merchant_daily_metrics(
     orders: DataFrame, events: DataFrame, as_of, shop: str = "shop_id", extra_days: int = 1, events_as_of=None
 ) -> DataFrame:
@@ -212,30 +247,12 @@ def merchant_daily_metrics(
     events' own anchor day where their calendar differs.
     """
     day = as_of_day(as_of)
-    source = F.lower(F.trim("order_traffic_source"))
-    direct, social = source.isin(*DIRECT_SOURCES), source.isin(*SOCIAL_SOURCES)
-    one = F.lit(1)
-
-    def window(name: str, kind: str, value: Column, days: int) -> Rolling:
-        return Rolling(name, kind, value, days, extra_days)
-
-    specs = [
-        *(window(f"avg_profit_l{n}d", "avg", F.col("merchant_profit"), n) for n in (3, 7, 30)),
-        *(window(f"avg_gmv_l{n}d", "avg", F.col("gmv"), n) for n in (3, 7, 30)),
-        *(window(f"max_lineitem_gmv_l{n}d", "max", F.col("max_raw_price_lineitem"), n) for n in (3, 7)),
-        *(window(f"_orders_l{n}d", "count", one, n) for n in (3, 7, 30)),
-        *(window(f"_direct_l{n}d", "count", F.when(direct, 1), n) for n in (3, 7, 30)),
-        window("_social_l30d", "count", F.when(social, 1), 30),
-    ]
-    sales = rolling_as_of(orders, [shop], "order_created_at", day, specs)
-    viewed, bought = F.col("event_name") == "view", F.col("event_name") == "purchase"
-    funnel = rolling_as_of(
-        events, [shop], "created_at", day if events_as_of is None else as_of_day(events_as_of),
-        [
-            *(window(f"_views_l{n}d", "count", F.when(viewed, 1), n) for n in (3, 7, 30)),
-            *(window(f"_buys_l{n}d", "count", F.when(bought, 1), n) for n in (3, 7, 30)),
-        ],
-    )
+    sales = _in_one_pass(orders, shop, "order_created_at", day, _sales(), extra_days)
+    funnel = _in_one_pass(events, shop, "created_at", day if events_as_of is None else as_of_day(events_as_of), _funnel(), extra_days)
+    return _daily_metrics(sales, funnel, shop)
+
+
+def _daily_metrics(sales: DataFrame, funnel: DataFrame, shop: str) -> DataFrame:
     return sales.join(funnel, shop, "full").select(
         shop,
         *(f"avg_profit_l{n}d" for n in (3, 7, 30)),
@@ -247,8 +264,34 @@ def merchant_daily_metrics(
     )
 
 
+class DailyMetrics:
+    """:func:`merchant_daily_metrics` from partials per shop and day that are kept in a folder.
+
+    ``refresh_orders`` and ``refresh_events`` compute given days anew (those of a late batch, or yesterday); ``metrics``
+    merges the days of its windows and reads no order or event.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, orders: StructType, events: StructType, shop: str = "shop_id"):
+        empty = lambda schema: spark.createDataFrame([], schema)
+        self.shop = shop
+        self.orders = DayStore(spark, f"{root}/orders", [shop], "order_created_at", _sales()[0])
+        self.events = DayStore(spark, f"{root}/events", [shop], "created_at", _funnel()[0])
+        self._schemas = self.orders.schema(empty(orders)), self.events.schema(empty(events))
+
+    def refresh_orders(self, orders: DataFrame, days: Sequence[dt.date]) -> None:
+        self.orders.refresh(orders, days)
+
+    def refresh_events(self, events: DataFrame, days: Sequence[dt.date]) -> None:
+        self.events.refresh(events, days)
+
+    def metrics(self, as_of: dt.date, events_as_of: dt.date | None = None, extra_days: int = 1) -> DataFrame:
+        sales = self.orders.windows(self._schemas[0], as_of, _sales()[1], extra_days)
+        funnel = self.events.windows(self._schemas[1], events_as_of or as_of, _funnel()[1], extra_days)
+        return _daily_metrics(sales, funnel, self.shop)
+
+
 __all__ = [
-    "buyer_history", "buyer_velocity", "card_features", "email_quality", "geo_features",
+    "DailyMetrics", "buyer_history", "buyer_velocity", "card_features", "email_quality", "geo_features",
     "ip_footprint", "match_text", "merchant_daily_metrics", "multi_store_rate", "order_card_features",
     "session_ip_mismatch", "tracking_reuse",
 ]

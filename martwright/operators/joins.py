@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import norm_key
+from .numbering import numbered
 
 
 def enrich(
@@ -134,14 +135,15 @@ def id_list(
     """Comma-separated text of the numeric ids of each console page, in row order.
 
     ``page`` says which page a row is on. A page of more than ``page_rows`` ids goes on in further
-    rows, numbered by ``page_part`` from 1, so no text grows with the data.
+    rows, numbered by ``page_part`` from 1, so no text grows with the data. A page of any size is
+    sorted by many tasks (:func:`~martwright.operators.numbering.numbered`).
     """
     text = F.trim(F.col(id_column).cast("string"))
     number = text.try_cast("double")
     rows = df.select(*page, F.struct(*order, text.alias("_id")).alias("_row"), number.alias("_number"))
     rows = rows.filter(F.col("_number").isNotNull() & ~F.isnan("_number"))
-    place = F.row_number().over(Window.partitionBy(*page).orderBy("_row"))
-    rows = rows.withColumn("page_part", (F.floor((place - 1) / page_rows) + 1).cast("int"))
+    rows = numbered(rows, ["_row"], page, "_place")
+    rows = rows.withColumn("page_part", (F.floor((F.col("_place") - 1) / page_rows) + 1).cast("int"))
     items = F.transform(F.sort_array(F.collect_list("_row")), lambda row: row["_id"])
     return rows.groupBy(*page, "page_part").agg(
         F.array_join(items, ", ").alias(name), F.count("_row").alias("id_count")

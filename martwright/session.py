@@ -66,6 +66,14 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it isn't there."""
+    system, target = _file(spark, path)
+    if not system.exists(target):
+        return []
+    return [f.getPath().getName() for f in system.listStatus(target)]
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder of files, if it is there."""
     system, target = _file(spark, path)

@@ -33,7 +33,8 @@ def _dim_order(divisor: int) -> str:
     return f"""
 SELECT o_orderkey AS order_id, '#' || o_orderkey AS order_name, l.shop_id, CAST(s_nationkey AS BIGINT) AS merchant_id,
   o_orderdate AS order_created_at, CASE WHEN o_totalprice < 2000 THEN 1 ELSE 0 END AS is_test,
-  'Buyer' || o_custkey || CASE o_orderpriority WHEN '1-URGENT' THEN '@Mailinator.example' WHEN '2-HIGH' THEN '@mail'
+  CASE WHEN o_custkey % 10 < 4 THEN 'Guest' || o_orderkey WHEN o_custkey % 10 < 7 THEN 'Agent'
+    ELSE 'Buyer' || o_custkey END || CASE o_orderpriority WHEN '1-URGENT' THEN '@Mailinator.example' WHEN '2-HIGH' THEN '@mail'
     ELSE '@Buyers.example' END AS buyer_email,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'Stripe' WHEN '2-HIGH' THEN 'PayPal' ELSE 'Airwallex' END AS payment_gateway,
   {_TRAFFIC} AS source,
@@ -207,11 +208,12 @@ SELECT s.shop_id, s.merchant_id, s.total_disputed_orders, t.*  EXCLUDE (shop_id)
   r_name AS merchant_country, n_name AS merchant_city,
   total_refunded_orders / nullif(total_order_count, 0) AS dispute_order_ratio
 FROM (SELECT shop_id, merchant_id, total_disputed_orders FROM x_store) s
-LEFT JOIN (SELECT shop_id, count(*) AS total_order_count, count(*) FILTER (status = 'P') AS total_refunded_orders FROM x_order GROUP BY 1) t
+LEFT JOIN (SELECT shop_id, count(*) AS total_order_count, count(*) FILTER (status = 'P' OR shop_id % 9 = 0) AS total_refunded_orders FROM x_order GROUP BY 1) t
   ON t.shop_id = s.shop_id
 LEFT JOIN x_mail_quality q ON q.shop_id = s.shop_id LEFT JOIN x_roaming r ON r.shop_id = s.shop_id
 LEFT JOIN (SELECT shop_id, distinct_session_ips AS unique_ip_location_count FROM x_session_totals) i ON i.shop_id = s.shop_id
-LEFT JOIN (SELECT user_id AS shop_id, count(*) FILTER (event_type = 'error') / count(*) AS primary_rate FROM events GROUP BY 1) f
+LEFT JOIN (SELECT user_id AS shop_id, count(*) FILTER (event_type = 'error' OR (user_id % 7 = 0 AND event_type IN ('signup', 'click'))) / count(*)
+  AS primary_rate FROM events GROUP BY 1) f
   ON f.shop_id = s.shop_id
 LEFT JOIN x_windowed w ON w.shop_id = s.shop_id
 LEFT JOIN nation ON n_nationkey = s.merchant_id LEFT JOIN region ON r_regionkey = n_regionkey""",
@@ -266,7 +268,7 @@ SELECT merchant_id, made_at, CAST(arg_max(requested, settlement_id) * 40 AS DECI
   arg_max(reserve, settlement_id) AS held FROM x_request WHERE status = 'F' GROUP BY 1, 2""",
     "x_ledger_then": """
 SELECT settlement_id, p.merchant_id, requested, coalesce(available, 0) - requested - hold - coalesce(held, 0) AS left_over
-FROM (SELECT *, sum(requested) OVER (PARTITION BY merchant_id) AS hold FROM x_pending) p
+FROM (SELECT *, sum(requested) OVER (PARTITION BY merchant_id ORDER BY made_at) AS hold FROM x_pending) p
 ASOF LEFT JOIN x_snapshot s ON s.merchant_id = p.merchant_id AND s.made_at <= p.made_at""",
     "x_invoice": f"""
 SELECT o_orderkey AS invoice_id, CAST(c_nationkey AS BIGINT) + 10000000 AS merchant_id, o_orderdate AS made_at, o_orderstatus AS status,
@@ -322,6 +324,15 @@ UNION SELECT account_id, 'subnet', CASE WHEN matched_length >= 24 THEN matched_p
 SELECT * FROM (VALUES (' Nation_5@Payout.Example', TIMESTAMP '1993-01-01', NULL),
   ('nation_17@payout.example', TIMESTAMP '1993-01-01', NULL), ('extra@payout.example', TIMESTAMP '1993-01-01', NULL),
   ('Shared@Payout.example', TIMESTAMP '1993-01-01', TIMESTAMP '1995-07-01'), ('shared@payout.example', TIMESTAMP '1996-10-01', NULL)) r(entry, since, until)""",
+    "x_restricted_then": """
+SELECT settlement_id, CAST(count(entry) > 0 AS INTEGER) AS is_destination_restricted,
+  string_agg(DISTINCT entry, ', ' ORDER BY entry) AS flagged_destination_emails
+FROM x_request r LEFT JOIN (
+  SELECT merchant_id, entry, pay.since AS a, pay.until AS b, listed.since AS c, listed.until AS d
+  FROM x_pay pay JOIN x_listed listed ON mail = lower(trim(entry))) p
+ON p.merchant_id = r.merchant_id AND made_at >= a AND made_at < coalesce(b, TIMESTAMP '9999-01-01')
+  AND made_at >= c AND made_at < coalesce(d, TIMESTAMP '9999-01-01')
+GROUP BY settlement_id""",
     "x_star": """
 SELECT attribute, value, account_id, min(account_id) OVER g AS anchor, count(*) OVER g AS group_size
 FROM (SELECT DISTINCT * FROM x_attribute WHERE value IS NOT NULL)
@@ -351,12 +362,12 @@ _ROUTING = (
 )
 
 _HEALTH_CODES = {
-    "sig_critical_dispute": ("dispute_order_ratio >= 0.35", "CRITICAL_DISPUTE_SURGE "),
-    "sig_gateway_failure": ("payment_failure_rate_primary_gateway >= 0.22", "HIGH_GATEWAY_FAILURE "),
+    "sig_critical_dispute": ("dispute_order_ratio >= 0.85", "CRITICAL_DISPUTE_SURGE "),
+    "sig_gateway_failure": ("payment_failure_rate_primary_gateway >= 0.40", "HIGH_GATEWAY_FAILURE "),
     "sig_gmv_surge": ("avg_gmv_l3d >= 100", "HIGH_GMV_SURGE "),
     "sig_disposable_emails": ("disposable_email_rate >= 0.15", "DISPOSABLE_BUYER_EMAIL "),
     "sig_direct_traffic": ("pct_direct_traffic_l3d >= 0.85", "UNATTRIBUTED_DIRECT_TRAFFIC "),
-    "sig_multi_store_clustering": ("multi_store_buyer_rate >= 0.95", "MULTI_STORE_BUYER_CLUSTER "),
+    "sig_multi_store_clustering": ("multi_store_buyer_rate >= 0.40", "MULTI_STORE_BUYER_CLUSTER "),
     "sig_restricted_disbursement": ("is_disbursement_restricted = 1", "RESTRICTED_DISBURSEMENT_RECIPIENT "),
 }
 _HEALTH_TEXT = "trim(concat(" + ", ".join(f"CASE WHEN {c} THEN '{t}' END" for c, t in _HEALTH_CODES.values()) + "))"
@@ -378,7 +389,7 @@ _SIGNALS = {
     "sig_gateway_decline_received": "declined",
     "sig_excessive_retry_burst": "attempts >= 12",
     "sig_high_gateway_latency": "latency >= 75",
-    "sig_buyer_velocity_spike": "d.n >= 2",
+    "sig_buyer_velocity_spike": "d.n >= 5",
     "sig_buyer_return_history": "t.returned >= 8",
     "sig_shipping_ip_mismatch": "wd = 0",
     "sig_shipping_card_country_mismatch": "wd = 1",
@@ -461,15 +472,7 @@ SELECT shop_id, '2001-08-02' AS calculation_date, week({_ASOF}) AS reporting_wee
   {_pct('pct_direct_traffic_l30d', 'pct_direct_traffic_l30d')} FROM x_metrics""",
     "merchant_daily_metrics": "SELECT * FROM x_windowed",
     "restricted_registry_match": "SELECT * FROM x_restricted",
-    "restricted_destination_as_of": """
-SELECT settlement_id, CAST(count(entry) > 0 AS INTEGER) AS is_destination_restricted,
-  string_agg(DISTINCT entry, ', ' ORDER BY entry) AS flagged_destination_emails
-FROM x_request r LEFT JOIN (
-  SELECT merchant_id, entry, pay.since AS a, pay.until AS b, listed.since AS c, listed.until AS d
-  FROM x_pay pay JOIN x_listed listed ON mail = lower(trim(entry))) p
-ON p.merchant_id = r.merchant_id AND made_at >= a AND made_at < coalesce(b, TIMESTAMP '9999-01-01')
-  AND made_at >= c AND made_at < coalesce(d, TIMESTAMP '9999-01-01')
-GROUP BY settlement_id""",
+    "restricted_destination_as_of": "SELECT * FROM x_restricted_then",
     "restricted_destination_check": """
 SELECT settlement_id, is_matched AS is_destination_restricted, flagged_destination_emails
 FROM x_pending JOIN x_restricted USING (merchant_id)""",
@@ -571,8 +574,11 @@ SELECT p.settlement_id, CAST(coalesce(sum(f.requested), 0) AS DOUBLE) AS gmv_3d,
 FROM x_pending p LEFT JOIN (SELECT *, settlement_id IN (SELECT order_id FROM x_disputes) AS disputed FROM x_request) f
   ON f.merchant_id = p.merchant_id AND f.made_at >= p.made_at - INTERVAL 3 DAY AND f.made_at < p.made_at GROUP BY 1""",
     "buyer_velocity": """
-SELECT order_id, count(*) OVER (PARTITION BY lower(split_part(buyer_email, '@', 2)), CAST(order_created_at AS DATE))
+SELECT order_id, count(*) OVER (PARTITION BY lower(buyer_email), CAST(order_created_at AS DATE))
   AS no_order_customer_email_per_day FROM x_order""",
+    "buyer_velocity_at_order": """
+SELECT order_id, row_number() OVER (PARTITION BY lower(buyer_email), CAST(order_created_at AS DATE) ORDER BY order_created_at, order_id)
+  AS buyer_orders_so_far_that_day FROM x_order""",
     "buyer_history": """
 SELECT order_id, n AS count_order_of_customer, returned AS count_order_cancel_refund_by_buyer_email
 FROM x_order JOIN x_buyer_total ON buyer = lower(buyer_email)""",
@@ -653,7 +659,11 @@ SELECT round(v, 4) AS base_ms, round(c, 4) AS other_ms, round(v / c, 4) AS speed
 FROM (SELECT max(mean_ms) FILTER (event_type = 'view') AS v, max(mean_ms) FILTER (event_type = 'click') AS c FROM x_timing)""",
 }
 
-_QUERIES["settlement_mart_as_of"] = _QUERIES["settlement_mart"].replace("x_ledger ", "x_ledger_then ")
+_QUERIES["settlement_mart_as_of"] = (
+    _QUERIES["settlement_mart"].replace("x_ledger ", "x_ledger_then ")
+    .replace("x_restricted r ON r.merchant_id = p.merchant_id", "x_restricted_then r ON r.settlement_id = p.settlement_id")
+    .replace("is_matched", "is_destination_restricted")
+)
 _QUERIES["settlement_mart_exclude_self"] = _QUERIES["settlement_mart"].replace("x_ledger ", "x_ledger_self ")
 _QUERIES["mart_snapshot"] = _QUERIES["consolidated_merchant_mart"]
 _QUERIES["mart_sink"] = _QUERIES["consolidated_merchant_mart"]

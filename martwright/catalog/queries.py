@@ -30,9 +30,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CONSOLIDATED = ConsolidatedConfig(since=dt.date(1996, 1, 1))
 ALL_DAYS = 4000
-# Thresholds at which the sample has rows on both sides.
-CHECKOUT_HISTORY = CheckoutConfig(lookback_days=ALL_DAYS, buyer_orders_per_day=2)
-HEALTH = MerchantHealthConfig(critical_dispute_ratio=0.35, high_failure_ratio=0.22, multi_store_buyer_rate=0.95)
+# Decision thresholds are the defaults; windows reach back over the whole sample where a query says "history".
+CHECKOUT_HISTORY = CheckoutConfig(lookback_days=ALL_DAYS)
+HEALTH = MerchantHealthConfig()
 HEALTH_HISTORY = replace(HEALTH, active_days=ALL_DAYS)
 SETTLEMENT = SettlementConfig(pending_status=PENDING)
 SETTLEMENT_HISTORY = replace(SETTLEMENT, flag_order_age_days=ALL_DAYS)
@@ -498,9 +498,13 @@ def settlement_anchored_gmv(star: SampleStar) -> DataFrame:
 
 @_register
 def buyer_velocity(star: SampleStar) -> DataFrame:
-    # Sellers see a buyer once a day here, so the domain stands in for the busy identifier.
-    orders = star["dim_order"].withColumn("buyer_email", F.substring_index("buyer_email", "@", -1))
-    return features.buyer_velocity(orders).select("order_id", "no_order_customer_email_per_day")
+    return features.buyer_velocity(star["dim_order"]).select("order_id", "no_order_customer_email_per_day")
+
+
+@_register
+def buyer_velocity_at_order(star: SampleStar) -> DataFrame:
+    orders = star["dim_order"].select("order_id", "buyer_email", "order_created_at")
+    return features.buyer_velocity_at_order(orders).select("order_id", "buyer_orders_so_far_that_day")
 
 
 @_register

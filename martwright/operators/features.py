@@ -23,6 +23,7 @@ from ..functions import (
     safe_div,
 )
 from .joins import attach
+from .numbering import numbered
 from .partials import DayStore, LastDays, Measure
 from .temporal import Rolling, as_of_join, rolling_as_of
 
@@ -42,6 +43,22 @@ def buyer_velocity(
     return attach(keyed, totals, ["_buyer", "_day"], spread=spread).fillna(0, [name]).drop("_buyer", "_day")
 
 
+def buyer_velocity_at_order(
+    orders: DataFrame, order_id: str = "order_id", buyer: str = "buyer_email", ts: str = "order_created_at",
+    name: str = "buyer_orders_so_far_that_day",
+) -> DataFrame:
+    """Add how many orders the same buyer had placed that calendar day up to each order, itself included.
+
+    What is known when an order comes in: later orders of the day don't count. Orders of one instant follow by id. Unknown
+    buyers and orders without a time have 0. A buyer's day is numbered by ranges, so a buyer who places very many orders is
+    spread over tasks.
+    """
+    keyed = orders.select(order_id, F.col(ts).alias("_ts"), norm_key(buyer).alias("_buyer"), F.col(ts).cast("date").alias("_day"))
+    placed = keyed.filter(F.col("_buyer").isNotNull() & F.col("_ts").isNotNull())
+    counted = numbered(placed, ["_ts", order_id], ["_buyer", "_day"], name).select(order_id, name)
+    return orders.join(counted, order_id, "left").fillna(0, [name])
+
+
 def buyer_history(
     orders: DataFrame, buyer: str = "buyer_email", status: str = "order_status",
     returned: Sequence[str] = ("cancelled", "refunded"), spread: int = 1, counted: DataFrame | None = None,
@@ -291,7 +308,7 @@ class DailyMetrics:
 
 
 __all__ = [
-    "DailyMetrics", "buyer_history", "buyer_velocity", "card_features", "email_quality", "geo_features",
+    "DailyMetrics", "buyer_history", "buyer_velocity", "buyer_velocity_at_order", "card_features", "email_quality", "geo_features",
     "ip_footprint", "match_text", "merchant_daily_metrics", "multi_store_rate", "order_card_features",
     "session_ip_mismatch", "tracking_reuse",
 ]

@@ -1,11 +1,11 @@
-"""Row numbers over a sort that no single task sees as a whole."""
+"""Row numbers and running totals over a sort that no single task sees as a whole."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -36,3 +36,24 @@ def numbered(df: DataFrame, order: Sequence[str], within: Sequence[str] = (), na
     )
     same = reduce(lambda a, b: a & b, (F.col(g).eqNullSafe(F.col(f"{g}_")) for g in groups), F.col("_range") == F.col("_range_"))
     return rows.join(offsets, same).select(*df.columns, (F.col("_at") + F.col("_offset") + 1).alias(name))
+
+
+def running_totals(df: DataFrame, keys: Sequence[str], ts: str, sums: Mapping[str, Column]) -> DataFrame:
+    """(keys, ts, sums): the totals of each key over all rows up to and at each of its times.
+
+    Rows of one key and time are added up first. Times are then dealt into ranges of (key, time); totals run within a range,
+    and the totals of a key's earlier ranges are added, so a hot key is spread over tasks. The dealt rows are
+    written once to the shared folder. Rows with a null key or time are left out, null values count as 0; sums should be of
+    exact types.
+    """
+    names = list(sums)
+    known = df.select(*keys, ts, *(F.coalesce(c, F.lit(0)).alias(n) for n, c in sums.items())).dropna(subset=[*keys, ts])
+    instants = known.groupBy(*keys, ts).agg(*(F.sum(n).alias(n) for n in names))
+    ranged = instants.repartitionByRange(*keys, ts)
+    rows, _ = written(ranged.withColumn("_range", F.spark_partition_id()), "running")
+    ranges = rows.groupBy(*keys, "_range").agg(*(F.sum(n).alias(n) for n in names))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select(*keys, "_range", *(F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in names))
+    so_far = Window.partitionBy(*keys, "_range").orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = rows.withColumns({n: F.sum(n).over(so_far) for n in names})
+    return inside.join(offsets, [*keys, "_range"]).select(*keys, ts, *((F.col(n) + F.col(f"{n}_before")).alias(n) for n in names))

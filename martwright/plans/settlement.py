@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..config import SettlementConfig
 from ..functions import as_of_day, days_between, ratio_of_sums, zero_if_null
 from ..operators.joins import attach
-from ..operators.registry import restricted_merchants
+from ..operators.numbering import running_totals
+from ..operators.registry import restricted_destinations_as_of, restricted_merchants
 from ..operators.signals import first_match
 from ..operators.temporal import as_of_join
 
@@ -212,10 +213,29 @@ def balances_at_request(requests: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
+def holds_at_request(requests: DataFrame) -> DataFrame:
+    """Add the pending amounts of the merchant's requests made up to the time of each, itself included."""
+    held = running_totals(requests, ["merchant_id"], "settlement_requested_at", {"pending_payout_hold": F.col("requested_amount")})
+    return attach(requests, held, ["merchant_id", "settlement_requested_at"])
+
+
+def restricted_at_request(requests: DataFrame, tables: Tables) -> DataFrame:
+    """Add whether a payout destination of the merchant was restricted when each request was made."""
+    found = restricted_destinations_as_of(
+        requests.withColumnRenamed("settlement_requested_at", "created_at"),
+        tables["fact_merchant_payout_change"], tables["ref_restricted_account_change"],
+    ).withColumnRenamed("is_destination_restricted", "is_matched")
+    return attach(requests, found, "settlement_id")
+
+
 def merchant_position(
-    tables: Tables, requests: DataFrame, cfg: SettlementConfig, as_of, current_balances: bool = True
+    tables: Tables, requests: DataFrame, cfg: SettlementConfig, as_of, current: bool = True
 ) -> DataFrame:
-    """All merchant-level inputs of the decision, for merchants with a pending request."""
+    """All merchant-level inputs of the decision, for merchants with a pending request; without ``current``, those alone
+    that don't depend on the time of a request."""
+    if not current:
+        asking = requests.filter(F.col("merchant_id").isNotNull()).select("merchant_id").distinct()
+        return asking.join(merchant_summary(tables, cfg, as_of), "merchant_id", "left")
     restricted = restricted_merchants(
         tables["fact_merchant_payout_setting"], tables["ref_restricted_account_registry"]
     )
@@ -224,8 +244,6 @@ def merchant_position(
         .join(merchant_summary(tables, cfg, as_of), "merchant_id", "left")
         .join(restricted, "merchant_id", "left")
     )
-    if not current_balances:
-        return position
     balances = tables["fact_merchant_account_balance"].select("merchant_id", *BALANCES)
     return position.join(balances, "merchant_id", "left")
 
@@ -252,12 +270,14 @@ def settlement_reconciliation(
     tables: Tables, cfg: SettlementConfig = SettlementConfig(), as_of=None, sort: bool = True,
     exclude_self: bool = False, balances_as_of_request: bool = False,
 ) -> DataFrame:
-    """The mart. ``balances_as_of_request`` takes the ledger as it stood when a request was made, from
-    ``fact_merchant_balance_history``, instead of the current balances."""
+    """The mart. ``balances_as_of_request`` takes the ledger as it stood when a request was made: balances from
+    ``fact_merchant_balance_history``, holds from the requests up to then, and restricted destinations from the change
+    logs of payout settings and registry, instead of the current ones."""
     requests = pending_requests(tables["fact_settlement_request"], cfg)
     position = merchant_position(tables, requests, cfg, as_of, not balances_as_of_request)
     if balances_as_of_request:
-        requests = balances_at_request(requests, tables["fact_merchant_balance_history"])
+        requests = balances_at_request(holds_at_request(requests), tables["fact_merchant_balance_history"])
+        requests = restricted_at_request(requests, tables)
     joined = attach(requests, position, "merchant_id").withColumns({
         "is_destination_restricted": zero_if_null("is_matched"),
         "total_unfulfilled_or_disputed_exposure": zero_if_null("_exposure"),

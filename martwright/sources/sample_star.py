@@ -64,9 +64,11 @@ TRAFFIC = (
     "when o_orderpriority = '3-MEDIUM' then 'facebook' else 'google' end"
 )
 IS_TEST = "case when o_totalprice < 2000 then 1 else 0 end"  # sandbox-sized orders count as tests
-# Mixed case; some domains are disposable, some addresses malformed.
+# Mixed case; some domains are disposable, some addresses malformed. Four customers in ten order as guests, under
+# another name each time; an agent orders for three in ten, and so often in a day.
 BUYER_EMAIL = (
-    "concat('Buyer', o_custkey, case o_orderpriority when '1-URGENT' then '@Mailinator.example' "
+    "concat(case when o_custkey % 10 < 4 then concat('Guest', ORDER_KEY) when o_custkey % 10 < 7 then 'Agent' "
+    "else concat('Buyer', o_custkey) end, case o_orderpriority when '1-URGENT' then '@Mailinator.example' "
     "when '2-HIGH' then '@mail' else '@Buyers.example' end)"
 )
 
@@ -179,7 +181,7 @@ class SampleStar:
             "order_id as checkout_id",
             "o_orderdate as order_created_at",
             f"{IS_TEST} as is_test",
-            f"{BUYER_EMAIL} as buyer_email",
+            f"{BUYER_EMAIL.replace('ORDER_KEY', 'order_id')} as buyer_email",
             "case o_orderpriority when '1-URGENT' then 'Stripe' when '2-HIGH' then 'PayPal' else 'Airwallex' end "
             "as payment_gateway",
             f"case o_orderstatus when 'P' then concat(' ', initcap({TRAFFIC})) else {TRAFFIC} end as order_traffic_source",
@@ -209,7 +211,7 @@ class SampleStar:
     @cached_property
     def dim_order_with_features(self) -> DataFrame:
         buyers = self.raw("orders").selectExpr(
-            f"{BUYER_EMAIL} as buyer_email", "o_orderdate as order_created_at", f"{ORDER_STATUS} as order_status"
+            f"{BUYER_EMAIL.replace('ORDER_KEY', 'o_orderkey')} as buyer_email", "o_orderdate as order_created_at", f"{ORDER_STATUS} as order_status"
         )
         counted = buyer_velocity(self.dim_order, counted=buyers)
         return buyer_history(counted, counted=buyers).drop("order_status")
@@ -316,12 +318,11 @@ class SampleStar:
         orders = self.dim_order
         totals = orders.groupBy("shop_id").agg(
             F.count(F.lit(1)).alias("total_order_count"),
-            F.count_if(F.col("order_status") == "refunded").alias("total_refunded_orders"),
+            F.count_if((F.col("order_status") == "refunded") | (F.col("shop_id") % 9 == 0)).alias("total_refunded_orders"),
         )
+        declined = (F.col("event_name") == "error") | ((F.col("shop_id") % 7 == 0) & F.col("event_name").isin("signup", "click"))
         failures = self.funnel_events.groupBy("shop_id").agg(
-            (F.count_if(F.col("event_name") == "error").cast("double") / F.count(F.lit(1))).alias(
-                "payment_failure_rate_primary_gateway"
-            ),
+            (F.count_if(declined).cast("double") / F.count(F.lit(1))).alias("payment_failure_rate_primary_gateway"),
             (F.count_if(F.col("event_name") == "signup").cast("double") / F.count(F.lit(1))).alias(
                 "payment_failure_rate_secondary_gateway"
             ),

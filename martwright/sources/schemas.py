@@ -60,6 +60,14 @@ DDL = {
     f"requested_amount {MONEY}, reserve_hold_amount {MONEY}, created_at timestamp, status string",
     "fact_merchant_payout_setting": "merchant_id bigint, payout_destination_email string",
     "ref_restricted_account_registry": "restricted_email string",
+    # Change logs of the two: a null destination removes a setting, is_listed says whether an account is listed from then on
+    "fact_merchant_payout_change": "merchant_id bigint, setting_id int, change_id int, payout_destination_email string, "
+    "changed_at timestamp",
+    "ref_restricted_account_change": "restricted_email string, change_id int, is_listed boolean, changed_at timestamp",
+    # What accounts may share
+    "account_address": "account_id bigint, address string",
+    "account_session": "event_id bigint, account_id bigint, ip_address string",
+    "ref_network_prefix": "prefix string",
     "fact_chargebacks": f"shop_id bigint, order_id bigint, dispute_amount_usd {MONEY}, status string",
     "fact_merchant_account_balance": f"merchant_id bigint, available_balance {MONEY}, "
     f"rolling_reserve_balance {MONEY}",

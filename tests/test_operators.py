@@ -217,3 +217,18 @@ def test_run_statistics(table):
     stats = metrics.run_statistics(runs, "form", "ms", "n")
     assert rows(stats) == [("a", 2, 20.0, 10.0, 5000.0), ("b", 1, 10.0, 0.0, 10000.0)]
     assert rows(metrics.speed_up(stats, "form", "a", "b")) == [(20.0, 10.0, 2.0, 50.0)]
+
+
+def test_buyer_velocity_at_order(table):
+    from martwright.operators.features import buyer_velocity_at_order
+
+    g = random.Random(12)
+    rows = [
+        (i, g.choice([" Agent@x ", "agent@X", "agent@x", "b@x", None]), g.choice([None, *(f"2026-03-0{d} {h:02}:00:00" for d in (1, 2) for h in (0, 5, 23))]))
+        for i in range(400)
+    ]
+    got = {r.order_id: r.n for r in buyer_velocity_at_order(table("order_id int, buyer_email string, order_created_at timestamp", rows), name="n").collect()}
+    key = lambda r: (r[1].strip().lower(), r[2][:10])
+    for i, mail, at in rows:
+        earlier = [r for r in rows if None not in (mail, at, r[1], r[2]) and key(r) == key((i, mail, at)) and (r[2], r[0]) <= (at, i)]
+        assert got[i] == len(earlier)

@@ -1,8 +1,11 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from martwright.catalog import queries
 from martwright.config import SettlementConfig
 from martwright.plans import settlement
 
@@ -126,3 +129,23 @@ def test_statuses_follow_the_config(books):
     tables = books([{"requested_amount": 5}, {"requested_amount": 6, "status": "P"}])
     got = settlement.pending_requests(tables["fact_settlement_request"], SettlementConfig(pending_status="P")).collect()
     assert [r.requested_amount for r in got] == [6]
+
+
+def test_ledger_as_of_the_request_decides_both_ways(spark):
+    """Balances on both sides of zero, and all statuses that the sample's amounts allow."""
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("sample data not present")
+    mart = queries()["settlement_mart_as_of"](spark, folder)
+    signs = mart.agg(*(F.count_if(F.expr(f"projected_remaining_balance {s} 0")).alias(n) for n, s in (("below", "<"), ("above", ">=")))).first()
+    assert min(signs) > 100
+    statuses = {r[0] for r in mart.select("automated_reconciliation_status").distinct().collect()}
+    assert len(statuses) >= 4, statuses
+    assert mart.agg(F.count_distinct("is_destination_restricted")).first()[0] == 2
+
+
+def test_holds_count_requests_up_to_the_time(table):
+    rows = [(1, 7, "10.00", "2026-01-01"), (2, 7, "5.00", "2026-01-03"), (3, 7, "1.00", "2026-01-03"), (4, 7, "2.00", "2026-02-01"), (5, 8, "9.00", "2026-01-05"), (6, None, "3.00", "2026-01-05")]
+    requests = table("settlement_id int, merchant_id int, requested_amount decimal(18,2), settlement_requested_at timestamp", rows)
+    got = {r.settlement_id: r.pending_payout_hold and float(r.pending_payout_hold) for r in settlement.holds_at_request(requests).collect()}
+    assert got == {1: 10.0, 2: 16.0, 3: 16.0, 4: 18.0, 5: 9.0, 6: None}

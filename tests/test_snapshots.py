@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martwright.operators import partials
 from martwright.operators.features import DailyMetrics, merchant_daily_metrics
 from martwright.operators.joins import id_list
-from martwright.operators.numbering import numbered
+from martwright.operators.numbering import numbered, running_totals
 from martwright.operators.partials import DayStore, LastDays, Measure, days_of
 from martwright.session import list_folder
 from martwright.snapshots import SnapshotTable
@@ -180,3 +180,13 @@ def test_a_hot_page_is_spread_over_tasks(spark):
     assert len(ranges) >= 3
     assert [r.id_count for r in parts] == [1000] * 20
     assert ", ".join(r.id_text for r in parts) == ", ".join(str(19999 - i) for i in range(20_000))
+
+
+def test_running_totals_equal_a_window(spark):
+    g = random.Random(3)
+    rows = [(g.choice([1, 1, 1, 2, None]), g.choice([None, *(DAY0 + dt.timedelta(hours=h) for h in range(300))]), g.choice([None, *range(-50, 50)])) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "k long, at timestamp, v long").repartition(5)
+    got = {(r.k, r["at"]): r.total for r in running_totals(df, ["k"], "at", {"total": F.col("v")}).collect()}
+    known = [(k, t, v or 0) for k, t, v in rows if None not in (k, t)]
+    assert got == {(k, t): sum(x for m, u, x in known if m == k and u <= t) for k, t, _ in known}
+    assert running_totals(df.limit(0), ["k"], "at", {"total": F.col("v")}).count() == 0

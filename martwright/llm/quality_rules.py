@@ -4,9 +4,15 @@ Each text gets counts that simple rules use. Documents that pass the rules are t
 own language and source: a transformed vector of four statistics is compared with a minimum-covariance-determinant
 estimate of its group, and rejected if its Mahalanobis distance is beyond a chi-square quantile.
 
-The estimate is found by concentration steps: start from medians and median absolute deviations, keep the 75 % of a
-group's documents of smallest distance, take their mean and covariance, and repeat. Every step is two aggregations with
-map-side partial results (a bounded quantile sketch, then sums), so a source may hold any share of all documents.
+The search for the half of a group whose covariance has the least determinant runs in every (language, source), every
+language and the whole corpus at once, over its distinct texts. It starts from three robust scatter matrices (deviations
+from medians, spatial signs, bounded scores), takes two concentration steps from each (keep the half of smallest distance,
+take its mean and covariance), goes on from the one of least determinant until the determinant shrinks no more, and
+ends with the mean and covariance of all that lies within the 97.5 % quantile of that estimate. A source's estimate is
+then drawn towards its language's, and that towards the corpus's, the more the fewer texts it rests on.
+
+Each step is two aggregations with map-side partial results: rows counted per narrow bin of distance, at most a few
+thousand bins a group, then sums. So a source may hold any share of all documents, and halves are the same at any size.
 """
 
 from __future__ import annotations
@@ -14,7 +20,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.operators.joins import attach
@@ -23,10 +29,12 @@ from .textkit import stage, without
 
 RUN = 5  #: words of a run that counts as repeated
 LEAST_WORDS, MOST_REPEATED = 10, 20  #: base rule: fewer words, or a larger percentage of repeated words, fail
-SHARE = 0.75  #: of a group's documents that an estimate rests on
-C_STEPS = 4
+FIRST_STEPS = 2  #: concentration steps from each start before the best one goes on alone
+LEAST_GAIN = 1e-3  #: a step that lowers the logarithm of the determinant's root by less ends a group's search
+INNER = 0.975  #: share of normal documents that the last step of an estimate takes in
 TAIL = 1e-6  #: share of regular documents that a verdict may cost if they were normal
-LEAST_GROUP = 200  #: a (language, source) with fewer documents is judged by its language, a smaller language by nothing
+SHRINK = 20  #: with so many distinct texts, an estimate counts as much as that of the next larger group
+PRIOR = 2.0  #: what the corpus's own deviations are drawn towards, in least deviations
 
 _SPACES = " \t\n\x0b\x0c\r"
 #: Statistics, with the least standard deviation that an estimate may claim for them.
@@ -119,36 +127,79 @@ def chi_square_quantile(tail: float, dof: int) -> float:
     return low
 
 
-#: What the covariance of the kept share must be multiplied by to fit a normal distribution.
-CONSISTENCY = SHARE / (1 - chi_square_tail(chi_square_quantile(1 - SHARE, _P), _P + 2))
+def consistency(share: float) -> float:
+    """What the covariance of the nearest ``share`` must be multiplied by to fit a normal distribution."""
+    return share / (1 - chi_square_tail(chi_square_quantile(1 - share, _P), _P + 2))
+
+
+INSIDE = chi_square_quantile(1 - INNER, _P)
 CUTOFF = chi_square_quantile(TAIL, _P)
+CELLS = [(i, j) for i in range(_P) for j in range(i + 1)]
+FLOORS = list(STATISTICS.values())
+WIDTHS = [f / 32 for f in FLOORS]  #: bins that the medians of the start are found in
+BINS_PER_OCTAVE, NEAREST, FARTHEST = 64, 2.0**-20, 2.0**40  #: bins of squared distances
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Per group: median of each statistic as the centre, and a diagonal matrix of robust deviations."""
-    names = list(STATISTICS)
-    centre = rows.groupBy("grp").agg(
-        F.count(F.lit(1)).alias("n"), *(F.percentile_approx(c, 0.5).alias(f"m{k}") for k, c in enumerate(names))
+def _middle(binned: DataFrame, keys: list[str], more: int) -> DataFrame:
+    """Per group: n, and the lowest bin up to which half of the rows lie, or half of n + ``more`` if there are as many.
+
+    Rows are counted per bin first, so a group's task gets no more rows than there are bins.
+    """
+    counted = binned.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("rows"))
+    group = Window.partitionBy(*keys)
+    reach = counted.select(
+        *keys, "bin", F.sum("rows").over(group.orderBy("bin")).alias("upto"), F.sum("rows").over(group).alias("n")
     )
-    apart = attach(rows, centre, "grp", "inner").select(
-        "grp", *(F.abs(F.col(c) - F.col(f"m{k}")).alias(c) for k, c in enumerate(names))
+    half = F.least(F.col("n"), F.floor((F.col("n") + more + 1) / 2))
+    return reach.filter(F.col("upto") >= half).groupBy(*keys).agg(F.min("bin").alias("bin"), F.first("n").alias("n"))
+
+
+def _medians(rows: DataFrame, values: list[Column], name: str) -> DataFrame:
+    """Per group: n, and the median of each value, to the next multiple of its width."""
+    cells = [F.struct(F.lit(k).alias("k"), F.floor(v / w + 0.5).alias("bin")) for k, (v, w) in enumerate(zip(values, WIDTHS, strict=True))]
+    found = _middle(rows.select("grp", F.inline(F.array(*cells))), ["grp", "k"], 0)
+    middles = (F.max(F.when(F.col("k") == k, F.col("bin") * w)).alias(f"{name}{k}") for k, w in enumerate(WIDTHS))
+    return found.groupBy("grp").agg(F.first("n").alias("n"), *middles)
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Three first estimates a group, all around its medians: deviations alone, spatial signs, bounded scores."""
+    centre = _medians(rows, [F.col(c) for c in STATISTICS], "m")
+    apart = attach(rows, centre, "grp", "inner")
+    away = [F.abs(F.col(c) - F.col(f"m{k}")) for k, c in enumerate(STATISTICS)]
+    spread = _medians(apart, away, "d").drop("n")
+    deviations = (F.sqrt(F.pow(1.4826 * F.col(f"d{k}"), 2) + f**2).alias(f"s{k}") for k, f in enumerate(FLOORS))
+    scale = stage(centre.join(spread, "grp").select(*centre.columns, *deviations), "mcd")
+    score = [((F.col(c) - F.col(f"m{k}")) / F.col(f"s{k}")).alias(f"z{k}") for k, c in enumerate(STATISTICS)]
+    scored = attach(rows, scale, "grp", "inner").select("grp", *score)
+    length = F.greatest(reduce(lambda a, b: a + b, (F.col(f"z{k}") * F.col(f"z{k}") for k in range(_P))), F.lit(1e-12))
+    shapes = scored.groupBy("grp").agg(
+        *(F.avg(F.col(f"z{i}") * F.col(f"z{j}") / length).alias(f"a{i}{j}") for i, j in CELLS),
+        *(F.avg(F.tanh(f"z{i}") * F.tanh(f"z{j}")).alias(f"b{i}{j}") for i, j in CELLS),
     )
-    spread = apart.groupBy("grp").agg(*(F.percentile_approx(c, 0.5).alias(f"s{k}") for k, c in enumerate(names)))
-    pairs = [(i, j) for i in range(_P) for j in range(i + 1)]
-    cells = {f"c{i}{j}": F.pow(1.4826 * F.col(f"s{i}"), 2) if i == j else F.lit(0.0) for i, j in pairs}
-    return centre.join(spread, "grp").select("grp", "n", *(f"m{k}" for k in range(_P)), *(c.alias(n) for n, c in cells.items()))
+
+    def start(number: int, value) -> Column:
+        cells = (value(i, j).alias(f"c{i}{j}") for i, j in CELLS)
+        return F.struct(F.lit(number).alias("start"), *cells)
+
+    size = lambda i, j: F.col(f"s{i}") * F.col(f"s{j}")
+    three = F.array(
+        start(0, lambda i, j: size(i, j) if i == j else F.lit(0.0)),
+        start(1, lambda i, j: _P * F.col(f"a{i}{j}") * size(i, j)),
+        start(2, lambda i, j: F.col(f"b{i}{j}") * size(i, j)),
+    )
+    return scale.join(shapes, "grp").select("grp", "n", *(f"m{k}" for k in range(_P)), F.inline(three))
 
 
 def _triangle(estimate: DataFrame) -> DataFrame:
-    """Cholesky factor (l..) of each group's covariance, with the least variances added."""
-    floors = list(STATISTICS.values())
-    for i in range(_P):
-        for j in range(i + 1):
-            inner = reduce(lambda a, b: a + b, (F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-            left = F.col(f"c{i}{j}") + F.lit(floors[i] ** 2 if i == j else 0.0) - inner
-            value = F.sqrt(F.greatest(left, F.lit(floors[i] ** 2 / 4))) if i == j else left / F.col(f"l{j}{j}")
-            estimate = estimate.withColumn(f"l{i}{j}", value)
-    return estimate.drop(*(f"c{i}{j}" for i in range(_P) for j in range(i + 1)))
+    """Cholesky factor (l..) of each covariance with the least variances added, and the log of its determinant's root."""
+    for i, j in CELLS:
+        inner = reduce(lambda a, b: a + b, (F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
+        left = F.col(f"c{i}{j}") + F.lit(FLOORS[i] ** 2 if i == j else 0.0) - inner
+        value = F.sqrt(F.greatest(left, F.lit(FLOORS[i] ** 2 / 4))) if i == j else left / F.col(f"l{j}{j}")
+        estimate = estimate.withColumn(f"l{i}{j}", value)
+    level = reduce(lambda a, b: a + b, (F.log(f"l{i}{i}") for i in range(_P)))
+    return estimate.withColumn("level", level).drop(*(f"c{i}{j}" for i, j in CELLS))
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -160,27 +211,85 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("distance", reduce(lambda a, b: a + b, squares)).drop(*(f"z{i}" for i in range(_P)))
 
 
-def _concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """Mean and covariance of the share of each group that is nearest to the estimate."""
-    near = _distance(attach(rows, estimate, "grp", "inner")).select("grp", *STATISTICS, "distance")
-    bound = near.groupBy("grp").agg(F.percentile_approx("distance", SHARE).alias("bound"), F.count(F.lit(1)).alias("n"))
-    half = attach(near, bound, "grp", "inner").filter("distance <= bound")
+def _moments(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
     names = list(STATISTICS)
-    cells = [
-        (F.lit(CONSISTENCY) * F.covar_pop(names[i], names[j])).alias(f"c{i}{j}") for i in range(_P) for j in range(i + 1)
-    ]
-    return half.groupBy("grp").agg(
-        F.first("n").alias("n"), *(F.avg(c).alias(f"m{k}") for k, c in enumerate(names)), *cells
+    cells = [(consistency(share) * F.covar_pop(names[i], names[j])).alias(f"c{i}{j}") for i, j in CELLS]
+    means = (F.avg(c).alias(f"m{k}") for k, c in enumerate(names))
+    return rows.groupBy(*keys).agg(F.first("n").alias("n"), *means, *cells)
+
+
+def _concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """From each estimate, the mean and covariance of the half of its group that is nearest to it."""
+    keys = ["grp", "start"]
+    near = _distance(attach(rows, estimate, "grp", "inner"))
+    reach = F.least(F.greatest("distance", F.lit(NEAREST)), F.lit(FARTHEST))
+    near = near.select(*keys, *STATISTICS, F.floor(F.log(reach) * (BINS_PER_OCTAVE / math.log(2))).alias("bin"))
+    bound = _middle(near, keys, _P).withColumnRenamed("bin", "bound")
+    return _moments(attach(near, bound, keys, "inner").filter("bin <= bound"), keys, 0.5)
+
+
+def least_determinant(rows: DataFrame) -> DataFrame:
+    """(grp, n, m.., c..): the estimate of each ``grp`` of vectors (STATISTICS), not yet drawn towards any other.
+
+    A group's search ends with the step that lowers its determinant by less than LEAST_GAIN; as the determinant can't
+    fall below that of the least deviations, every search ends. Groups that are done cost the others no more steps.
+    """
+    found = stage(_triangle(_starts(rows)), "mcd")
+    for _ in range(FIRST_STEPS):
+        found = stage(_triangle(_concentrate(rows, found)), "mcd")
+    values = [c for c in found.columns if c != "grp"]
+    least = F.min_by(F.struct(*values), F.struct("level", "start")).alias("e")
+    best = found.groupBy("grp").agg(least).select("grp", "e.*", F.lit(True).alias("moving"))
+    best = stage(best, "mcd")
+    while not best.filter("moving").isEmpty():
+        moved = _triangle(_concentrate(rows, best.filter("moving"))).select("grp", F.struct(*values).alias("e"))
+        gain = F.coalesce(F.col("e.level") < F.col("level") - LEAST_GAIN, F.lit(False))
+        both = best.drop("moving").join(moved, "grp", "left").withColumn("moving", gain)
+        chosen = (F.when(F.col("moving"), F.col(f"e.{c}")).otherwise(F.col(c)).alias(c) for c in values)
+        best = stage(both.select("grp", *chosen, "moving"), "mcd")
+    inside = _distance(attach(rows, best, "grp", "inner")).filter(F.col("distance") <= INSIDE)
+    return _moments(inside, ["grp"], INNER)
+
+
+def _towards(own: DataFrame, wide: DataFrame, on: str, apart: bool) -> DataFrame:
+    """Estimates drawn towards those of ``wide`` (joined by ``on``); ``apart`` adds the spread between both centres."""
+    parent = wide.select(F.col("grp").alias(on), *(F.col(c).alias(f"w_{c}") for c in wide.columns if c != "grp"))
+    both = own.join(parent, on)
+    weight = F.col("n") / (F.col("n") + SHRINK)
+    blend = lambda c: weight * F.col(c) + (1 - weight) * F.col(f"w_{c}")
+    gap = lambda k: F.col(f"m{k}") - F.col(f"w_m{k}")
+    between = lambda i, j: weight * (1 - weight) * gap(i) * gap(j) if apart else F.lit(0.0)
+    return both.select(
+        *(c for c in own.columns if c[0] not in "mc"),
+        *(blend(f"m{k}").alias(f"m{k}") for k in range(_P)),
+        *((blend(f"c{i}{j}") + between(i, j)).alias(f"c{i}{j}") for i, j in CELLS),
     )
 
 
+def _shrunk(estimate: DataFrame, sources: DataFrame) -> DataFrame:
+    """(own, m.., l..): each source's estimate drawn towards its language's, that towards the corpus's.
+
+    A language may differ from the corpus as it likes, so the spread between their centres counts as its own; a source
+    is expected to be like its language.
+    """
+    weight = F.col("n") / (F.col("n") + SHRINK)
+    prior = lambda i, j: (1 - weight) * (PRIOR * FLOORS[i]) ** 2 if i == j else F.lit(0.0)
+    corpus = estimate.filter(F.col("grp") == "").select(
+        "grp", "n", *(f"m{k}" for k in range(_P)), *((weight * F.col(f"c{i}{j}") + prior(i, j)).alias(f"c{i}{j}") for i, j in CELLS)
+    )
+    wide = estimate.join(sources.select(F.col("wide").alias("grp")).distinct(), "grp", "left_semi")
+    wide = _towards(wide.withColumn("top", F.lit("")), corpus, "top", True).drop("top")
+    own = _towards(estimate.join(sources.withColumnRenamed("own", "grp"), "grp"), wide, "wide", False)
+    return _triangle(own).drop("n", "wide", "level").withColumnRenamed("grp", "own")
+
+
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", keep: list[str] | None = None) -> DataFrame:
     """Add the counts of :func:`base_counts`, ``distance`` (squared, null without a verdict) and ``kept``.
 
     * ``kept`` is false for documents that fail the base rules, and for outliers of their group. Only documents that
-      pass the base rules shape the estimates.
-    * A null language or source is a value like any other. Groups of fewer than LEAST_GROUP documents are judged by
-      their language; in smaller languages the base rules decide alone.
+      pass the base rules shape the estimates, and equal texts of a group count once there.
+    * A null language or source is a value like any other. Every group is judged, however small: with few distinct texts
+      mostly by its language (SHRINK), and a language of few texts with the corpus's deviations around a centre between.
     * Constant statistics (all documents alike) are met by the least deviations in STATISTICS.
     * Repeated documents are judged alike. Columns named like a result are replaced; all others are returned (or those
       in ``keep``). An empty table gives an empty result.
@@ -193,23 +302,15 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         F.to_json(F.struct(docs[lang], docs[source]), nulls).alias("own"),
         F.to_json(F.struct(docs[lang]), nulls).alias("wide"),
     )
-    counted = base_counts(narrow, "_text").drop("_text").withColumns(_statistics())
+    counted = base_counts(narrow, "_text").withColumns({"_copy": F.xxhash64("_text"), **_statistics()}).drop("_text")
     counted = stage(counted, "rules")
-    passed = counted.filter(~F.col("base_failed")).select(
-        F.explode(F.array("own", "wide")).alias("grp"), *STATISTICS
-    )
-    estimate = stage(_triangle(_start(passed)), "mcd")
-    for _ in range(C_STEPS):
-        estimate = stage(_triangle(_concentrate(passed, estimate)), "mcd")
-    large = estimate.filter(F.col("n") >= LEAST_GROUP)
-    # A language's estimate goes to those sources that are too small for their own.
-    sources = counted.groupBy("own", "wide").agg(F.count(F.lit(1)).alias("all"))
-    own = sources.join(large.withColumnRenamed("grp", "own"), "own", "left")
-    fall = large.select(F.col("grp").alias("wide"), *(F.col(c).alias(f"w_{c}") for c in large.columns if c != "grp"))
-    both = own.join(fall, "wide", "left")
-    numbers = [c for c in large.columns if c not in ("grp", "n")]
-    chosen = both.select("own", *(F.when(F.col("n").isNotNull(), F.col(c)).otherwise(F.col(f"w_{c}")).alias(c) for c in numbers))
-    judged = _distance(attach(counted, chosen, "own"))
+    passed = counted.filter(~F.col("base_failed"))
+    groups = passed.select(F.explode(F.array("own", "wide", F.lit(""))).alias("grp"), "_copy", *STATISTICS)
+    single = groups.groupBy("grp", "_copy").agg(*(F.min(c).alias(c) for c in STATISTICS)).drop("_copy")
+    estimate = stage(least_determinant(stage(single, "vectors")), "mcd")
+    sources = passed.groupBy("own", "wide").agg(F.count(F.lit(1)).alias("all")).drop("all")
+    chosen = _shrunk(estimate, sources)
+    judged = _distance(attach(counted, stage(chosen, "mcd"), "own"))
     results = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance"]
     taken = {*results, "kept"}
     verdict = ~F.col("base_failed") & ~F.coalesce(F.col("distance") > CUTOFF, F.lit(False))

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from .quality_rules import C_STEPS, CONSISTENCY, CUTOFF, LEAST_GROUP, SHARE, STATISTICS
+import math
+
+from .quality_rules import (
+    BINS_PER_OCTAVE, CELLS, CUTOFF, FARTHEST, FIRST_STEPS, FLOORS, INNER, INSIDE, LEAST_GAIN, NEAREST, PRIOR, SHRINK, WIDTHS,
+    consistency,
+)
 from .secret_ledger import BASE_RULES, RULES
 
 #: Words of ``TEXT``: A-Z folded, then runs of digits, letters and non-ASCII characters.
@@ -105,14 +110,14 @@ FROM run GROUP BY doc_id, k
 """
 
 def _op10() -> str:
-    """Rule counts, then the concentration steps spelled out one table after the other."""
-    floors = list(STATISTICS.values())
-    p = len(floors)
-    cells = [(i, j) for i in range(p) for j in range(i + 1)]
+    """Rule counts, then the search for the least determinant: two steps from three starts, and a walk from the best."""
+    floors, p, cells = FLOORS, len(FLOORS), CELLS
     stats = ", ".join(f"f{k}" for k in range(p))
+    numbers = ", ".join([*(f"m{k}" for k in range(p)), *(f"c{i}{j}" for i, j in cells)])
+    level = " + ".join(f"ln(l{i}{i})" for i in range(p))
 
-    def triangle(name: str, source: str) -> str:
-        """Cholesky factor of the covariance (c..) of ``source``, one entry after the other."""
+    def triangle(source: str) -> str:
+        """Cholesky factor of the covariance (c..) of ``source``, one entry after the other, and its level."""
         inner = f"SELECT * FROM {source}"
         for i, j in cells:
             taken = " ".join(f"- l{i}{k} * l{j}{k}" for k in range(j))
@@ -121,7 +126,7 @@ def _op10() -> str:
             else:
                 value = f"(c{i}{j} {taken}) / l{j}{j}"
             inner = f"SELECT *, {value} AS l{i}{j} FROM ({inner})"
-        return f"{name} AS MATERIALIZED ({inner})"
+        return f"SELECT *, {level} AS level FROM ({inner})"
 
     def distance(source: str) -> str:
         inner = source
@@ -130,33 +135,70 @@ def _op10() -> str:
             inner = f"SELECT *, (f{i} - m{i} {taken}) / l{i}{i} AS z{i} FROM ({inner})"
         return f"SELECT *, {' + '.join(f'z{i} * z{i}' for i in range(p))} AS distance FROM ({inner})"
 
-    start = ", ".join(f"pow(1.4826 * s{i}, 2) AS c{i}{j}" if i == j else f"0.0 AS c{i}{j}" for i, j in cells)
+    def moments(share: float) -> str:
+        spread = (f"{consistency(share)!r} * covar_pop(f{i}, f{j}) AS c{i}{j}" for i, j in cells)
+        return ", ".join([*(f"avg(f{k}) AS m{k}" for k in range(p)), *spread])
+
+    def middle(values: list[str], name: str) -> str:
+        bins = (f"floor({v} / {w!r} + 0.5)" for v, w in zip(values, WIDTHS, strict=True))
+        return ", ".join(f"list({x} ORDER BY {x})[(count(*) + 1) // 2] * {w!r} AS {name}{k}" for k, (x, w) in enumerate(zip(bins, WIDTHS, strict=True)))
+
+    def concentrate(source: str, keep: str) -> str:
+        """Mean and covariance of the nearest half of each group, by bins of distance; one use of ``source``."""
+        far = distance(f"SELECT {stats}, e.* FROM g JOIN {source} e USING (grp)")
+        bins = f"floor(ln(least(greatest(distance, {NEAREST!r}), {FARTHEST!r})) * {BINS_PER_OCTAVE / math.log(2)!r})"
+        near = f"SELECT *, {bins} AS bin FROM ({far})"
+        placed = f"SELECT *, row_number() OVER (PARTITION BY grp, start ORDER BY bin) AS place FROM ({near})"
+        half = f"CASE WHEN place = least(n, (n + {p + 1}) // 2) THEN bin END"
+        bound = f"SELECT *, max({half}) OVER (PARTITION BY grp, start) AS bound FROM ({placed})"
+        return triangle(f"(SELECT grp, start, any_value(n) AS n{keep}, {moments(0.5)} FROM ({bound}) WHERE bin <= bound GROUP BY grp, start)")
+
+    def towards(own: str, wide: str, on: str, apart: bool) -> str:
+        weight = f"(o.n / (o.n + {SHRINK}.0))"
+        blend = lambda c: f"{weight} * o.{c} + (1 - {weight}) * w.{c}"
+        gap = lambda i, j: f" + {weight} * (1 - {weight}) * (o.m{i} - w.m{i}) * (o.m{j} - w.m{j})" if apart else ""
+        drawn = [*(f"{blend(f'm{k}')} AS m{k}" for k in range(p)), *(f"{blend(f'c{i}{j}')}{gap(i, j)} AS c{i}{j}" for i, j in cells)]
+        return f"SELECT o.grp, o.n, {', '.join(drawn)} FROM {own} o JOIN {wide} w ON {on}"
+
+    scores = ", ".join(f"(f{k} - m{k}) / s{k} AS z{k}" for k in range(p))
+    length = f"greatest({' + '.join(f'z{k} * z{k}' for k in range(p))}, 1e-12)"
+    signs = ", ".join(f"avg(z{i} * z{j} / {length}) AS a{i}{j}" for i, j in cells)
+    bounded = ", ".join(f"avg(tanh(z{i}) * tanh(z{j})) AS b{i}{j}" for i, j in cells)
+    centres = ", ".join(f"m{k}" for k in range(p))
+    starts = (
+        ", ".join(f"s{i} * s{j} AS c{i}{j}" if i == j else f"0.0 AS c{i}{j}" for i, j in cells),
+        ", ".join(f"{p} * a{i}{j} * (s{i} * s{j}) AS c{i}{j}" for i, j in cells),
+        ", ".join(f"b{i}{j} * (s{i} * s{j}) AS c{i}{j}" for i, j in cells),
+    )
+    three = " UNION ALL ".join(f"SELECT grp, {k} AS start, n, {centres}, {c} FROM shapes" for k, c in enumerate(starts))
+    deviations = ", ".join(f"sqrt(pow(1.4826 * d{k}, 2) + {f ** 2!r}) AS s{k}" for k, f in enumerate(floors))
+    spread = middle([f"abs(f{k} - m{k})" for k in range(p)], "d")
     tables = [
-        f"centre AS (SELECT grp, count(*) AS n, {', '.join(f'quantile_disc(f{k}, 0.5) AS m{k}' for k in range(p))} FROM g GROUP BY grp)",
-        f"spread AS (SELECT grp, {', '.join(f'quantile_disc(abs(f{k} - m{k}), 0.5) AS s{k}' for k in range(p))} FROM g JOIN centre USING (grp) GROUP BY grp)",
-        f"first AS (SELECT *, {start} FROM centre JOIN spread USING (grp))",
-        triangle("e0", "first"),
+        f"centre AS MATERIALIZED (SELECT grp, count(*) AS n, {middle([f'f{k}' for k in range(p)], 'm')} FROM g GROUP BY grp)",
+        f"spread AS (SELECT grp, {spread} FROM g JOIN centre USING (grp) GROUP BY grp)",
+        f"scale AS MATERIALIZED (SELECT centre.*, {deviations} FROM centre JOIN spread USING (grp))",
+        f"scored AS (SELECT grp, {scores} FROM g JOIN scale USING (grp))",
+        f"shapes AS MATERIALIZED (SELECT * FROM scale JOIN (SELECT grp, {signs}, {bounded} FROM scored GROUP BY grp) USING (grp))",
+        f"e0 AS MATERIALIZED ({triangle(f'({three})')})",
+        *(f"e{k + 1} AS MATERIALIZED ({concentrate(f'e{k}', '')})" for k in range(FIRST_STEPS)),
+        f"best AS MATERIALIZED (SELECT * FROM e{FIRST_STEPS} QUALIFY row_number() OVER (PARTITION BY grp ORDER BY level, start) = 1)",
+        f"walk AS (SELECT *, 0 AS turn, CAST(NULL AS DOUBLE) AS before FROM best UNION ALL SELECT grp, start, n, {numbers}, "
+        + ", ".join(f"l{i}{j}" for i, j in cells)
+        + f", level, turn, before FROM ({concentrate('walk', ', any_value(turn) + 1 AS turn, any_value(level) AS before')}) "
+        f"WHERE level < before - {LEAST_GAIN!r})",
+        "found AS MATERIALIZED (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY grp ORDER BY turn DESC) = 1)",
+        f"inside AS ({distance(f'SELECT {stats}, e.* FROM g JOIN found e USING (grp)')})",
+        f"raw AS MATERIALIZED (SELECT grp, any_value(n) AS n, {moments(INNER)} FROM inside WHERE distance <= {INSIDE!r} GROUP BY grp)",
+        "top AS (SELECT grp, n, " + centres + ", "
+        + ", ".join(f"n / (n + {SHRINK}.0) * c{i}{j}" + (f" + (1 - n / (n + {SHRINK}.0)) * {(PRIOR * floors[i]) ** 2!r}" if i == j else "") + f" AS c{i}{j}" for i, j in cells)
+        + " FROM raw WHERE grp = '')",
+        f"langs AS MATERIALIZED ({towards('(SELECT * FROM raw WHERE grp IN (SELECT wide FROM s))', 'top', 'true', True)})",
+        f"owns AS ({towards('(SELECT * FROM raw JOIN (SELECT DISTINCT own AS grp, wide FROM s) USING (grp))', 'langs', 'o.wide = w.grp', False)})",
     ]
-    for step in range(C_STEPS):
-        moments = ", ".join(f"avg(f{k}) AS m{k}" for k in range(p))
-        spreads = ", ".join(f"{CONSISTENCY!r} * covar_pop(f{i}, f{j}) AS c{i}{j}" for i, j in cells)
-        tables += [
-            f"d{step} AS MATERIALIZED ({distance(f'SELECT g.*, e{step}.* EXCLUDE (grp) FROM g JOIN e{step} USING (grp)')})",
-            f"b{step} AS (SELECT grp, quantile_disc(distance, {SHARE!r}) AS bound, count(*) AS size FROM d{step} GROUP BY grp)",
-            f"c{step} AS (SELECT grp, any_value(size) AS n, {moments}, {spreads} FROM d{step} JOIN b{step} USING (grp) "
-            "WHERE distance <= bound GROUP BY grp)",
-            triangle(f"e{step + 1}", f"c{step}"),
-        ]
-    large = f"(SELECT * FROM e{C_STEPS} WHERE n >= {LEAST_GROUP})"
-    judged = distance(
-        f"SELECT s.r, {stats}, coalesce(o.n, w.n) AS n, "
-        + ", ".join(f"CASE WHEN o.n IS NOT NULL THEN o.{c} ELSE w.{c} END AS {c}" for c in
-                    [f"m{k}" for k in range(p)] + [f"l{i}{j}" for i, j in cells])
-        + f" FROM s LEFT JOIN {large} o ON o.grp = own LEFT JOIN {large} w ON w.grp = wide"
-    )
+    judged = distance(f"SELECT s.r, {stats}, e.* FROM s LEFT JOIN ({triangle('owns')}) e ON e.grp = own")
     return (
         r"""
-WITH t AS (
+WITH RECURSIVE t AS (
   SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
     [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
@@ -166,7 +208,7 @@ grams AS (SELECT r, i, list_slice(w, i, i + 4) AS g FROM (SELECT r, w, unnest(ra
 again AS (SELECT r, i FROM grams JOIN (SELECT r, g FROM grams GROUP BY r, g HAVING count(*) > 1) USING (r, g)),
 hit AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS k FROM again) GROUP BY r),
 counts AS (
-  SELECT r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT r, doc_id, lang, source, text, CAST(len(w) AS BIGINT) AS n_words,
     CAST(coalesce(list_sum([length(x) FOR x IN w]), 0) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_repeat_words
@@ -180,8 +222,8 @@ s AS MATERIALIZED (
   FROM counts
 ),
 """
-        + f"g AS MATERIALIZED (SELECT own AS grp, {stats} FROM s WHERE NOT base_failed UNION ALL "
-        + f"SELECT wide, {stats} FROM s WHERE NOT base_failed),\n"
+        + f"g AS MATERIALIZED (SELECT grp, {stats} FROM (SELECT DISTINCT grp, text, {stats} FROM "
+        + "(SELECT *, unnest([own, wide, '']) AS grp FROM s WHERE NOT base_failed))),\n"
         + ",\n".join(tables)
         + f",\nj AS ({judged})\nSELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, "
         + f"NOT base_failed AND NOT coalesce(distance > {CUTOFF!r}, false) AS kept FROM s JOIN j USING (r)"

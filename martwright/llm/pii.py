@@ -7,9 +7,11 @@ is an *instance* of that pattern. Patterns and instances form a graph, which Spa
 * a pattern's confidence for a kind is the summed score of its distinct instances for that kind, divided by their number
   plus one (rejected base matches, such as card numbers with a wrong check digit, score 0 for good);
 * an instance that is no seed scores, for one pattern, the mean confidence of its other patterns: those that end in
-  another word, so that no pattern speaks for itself.
+  another word, so that no pattern speaks for itself. With that score it is a seed of further patterns, which need
+  no base match of their own.
 
-Patterns of high confidence with several seeds are accepted, and a last pass marks the identifiers that follow them.
+Confidences start with the base matches alone and can only rise; rounds go on until none rises any more.
+Patterns of high confidence with several instances that are seeds or well scored are accepted, and a last pass marks the identifiers that follow them.
 Base spans always stay as they are.
 """
 
@@ -32,8 +34,9 @@ from .textkit import add_columns, slices, stage, text_buffers
 
 #: Kinds, in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
-LEAST_SEEDS = 5  #: distinct seeds that an accepted pattern must have
+LEAST_GAIN = 0.001  #: rounds end when no confidence rises by more
+LEAST_SEEDS = 5  #: distinct seeds, or instances scored BACKED or more, that an accepted pattern must have
+BACKED = 0.5
 CONFIDENCE = 0.7  #: of an accepted pattern
 PATTERN_BLOCK = 200_000  #: accepted patterns that a task holds at a time; beyond that the texts are read once a block
 WORD_CHARS = 24  #: of a context word, counted from its end
@@ -157,24 +160,27 @@ def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return rows_out(rows(), ["pattern", "instance", "kind", "state"], kinds)
 
 
-def learn_patterns(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """(pattern, kind, confidence, seeds) of the accepted patterns; at most one kind for a pattern."""
+def learn_patterns(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(pattern, kind, confidence, seeds, backed) of the accepted patterns; at most one kind for a pattern.
+
+    ``seeds`` counts distinct base matches, ``backed`` the other instances that other patterns speak for.
+    """
     seen = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
         _observe, "pattern string, instance string, kind string, state int"
     )
     edges = stage(seen.distinct(), "pii-graph")
     sizes = edges.groupBy("pattern").agg(F.count_distinct("instance").alias("size"))
     seeds = edges.filter("state = 1").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
-    known = seeds.join(sizes, "pattern")
     others = edges.filter("state is null").select("pattern", "instance")
-    share = F.col("seeds") / (F.col("size") + 1)
-    confidence = known.select("pattern", "kind", "seeds", "size", share.alias("confidence"))
     # Patterns with one last word see the same places, so they are one family and say one thing about an instance.
     others = others.withColumn("family", F.substring_index("pattern", " ", -1))
     families = others.groupBy("instance").agg(F.count_distinct("family").alias("families")).filter("families > 1")
     others = stage(attach(others, families, "instance", "inner"), "pii-instances")
-    for _ in range(rounds):
-        confidence = stage(confidence, "pii-scores")
+    share = F.col("seeds") / (F.col("size") + 1)
+    known = seeds.join(sizes, "pattern").select("pattern", "kind", "seeds", F.lit(0).cast("long").alias("backed"), share.alias("confidence"))
+    confidence = stage(known, "pii-scores")
+    rising = not others.isEmpty()
+    while rising:
         said = (
             attach(others, confidence.select("pattern", "kind", "confidence"), "pattern", "inner")
             .groupBy("instance", "kind", "family")
@@ -182,22 +188,33 @@ def learn_patterns(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) ->
         )
         total = said.groupBy("instance", "kind").agg(F.sum("own").alias("total"))
         # To a pattern, an instance is worth what the other families say of it; families without that kind count 0.
+        worth = (F.col("total") - F.coalesce("own", F.lit(0.0))) / (F.col("families") - 1)
         gained = (
             attach(others, total, "instance", "inner")
             .join(said, ["instance", "kind", "family"], "left")
             .groupBy("pattern", "kind")
-            .agg(F.sum((F.col("total") - F.coalesce("own", F.lit(0.0))) / (F.col("families") - 1)).alias("gained"))
+            .agg(F.sum(worth).alias("gained"), F.count_if(worth >= BACKED).alias("backed"))
         )
-        confidence = known.join(gained, ["pattern", "kind"], "left").select(
-            "pattern",
-            "kind",
-            "seeds",
-            "size",
-            ((F.col("seeds") + F.coalesce("gained", F.lit(0.0))) / (F.col("size") + 1)).alias("confidence"),
+        before = confidence.select("pattern", "kind", F.col("confidence").alias("before"))
+        none = lambda c: F.coalesce(c, F.lit(0))
+        scored = (
+            seeds.join(gained, ["pattern", "kind"], "full")
+            .join(sizes, "pattern")
+            .join(before, ["pattern", "kind"], "left")
+            .select(
+                "pattern",
+                "kind",
+                none("seeds").alias("seeds"),
+                none("backed").alias("backed"),
+                ((none("seeds") + none("gained")) / (F.col("size") + 1)).alias("confidence"),
+                none("before").alias("before"),
+            )
         )
-    accepted = confidence.filter((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") >= LEAST_SEEDS))
-    best = accepted.groupBy("pattern").agg(F.max(F.struct("confidence", "seeds", "kind")).alias("best"))
-    return best.select("pattern", "best.kind", "best.confidence", "best.seeds")
+        confidence = stage(scored, "pii-scores")
+        rising = not confidence.filter(F.col("confidence") > F.col("before") + LEAST_GAIN).isEmpty()
+    accepted = confidence.filter((F.col("confidence") >= CONFIDENCE) & (F.col("seeds") + F.col("backed") >= LEAST_SEEDS))
+    best = accepted.groupBy("pattern").agg(F.max(F.struct("confidence", "seeds", "kind", "backed")).alias("best"))
+    return best.select("pattern", "best.kind", "best.confidence", "best.seeds", "best.backed")
 
 
 _SPAN = StructType([StructField("kind", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())])

@@ -3,6 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from martwright.llm import pii
 from martwright.llm.pii import KINDS, base_entities, find_pii, learn_patterns, redact, spans_text
 
 PATTERNS = (
@@ -75,6 +76,81 @@ def test_patterns_of_mixed_followers_are_not_accepted(documents):
     assert "write to" not in {r.pattern for r in learn_patterns(documents(texts)).collect()}
 
 
+def chained():
+    """Addresses behind one context, unlisted forms behind it and a second, others behind the second and a third."""
+    texts = {k: f"Please write to user{k}@mail{k}.example.com soon" for k in range(40)}
+    texts |= {100 + k: f"please write to jo(at)site{k} soon" for k in range(6)}
+    texts |= {200 + k: f"they ping on jo(at)site{k} often" for k in range(6)} | {210: "they ping on zed(at)nowhere9 often"}
+    return texts
+
+
+def test_discovered_instances_seed_further_patterns(documents):
+    texts = chained()
+    rows = {r.doc_id: r for r in find_pii(documents(texts)).collect()}
+    for k in [*range(100, 106), *range(200, 206), 210]:
+        assert [(s.kind, texts[k][s.start : s.end]) for s in rows[k].added_spans] == [("email", texts[k].split()[-2])]
+
+
+def test_discoveries_do_not_drift_to_mixed_followers(documents):
+    texts = chained() | {300 + k: f"items numbered from jo(at)site{k} up" for k in range(6)}
+    texts |= {400 + k: f"items numbered from {k}th up" for k in range(20)}
+    rows = {r.doc_id: r for r in find_pii(documents(texts)).collect()}
+    assert not any(rows[k].added_spans for k in range(400, 420))
+    assert "numbered from" not in {r.pattern for r in learn_patterns(documents(texts)).collect()}
+
+
+def plain_confidences(texts):
+    """(pattern, kind) -> (confidence, seeds, backed) by loops over sets."""
+    seeds, others, members = {}, set(), {}
+    for text in texts:
+        good, bad = base_entities(text)
+        places = [(KINDS[k], a, b) for k, a, b in good] + [("", a, b) for _, a, b in bad]
+        places += [(None, a, b) for a, b in pii._identifiers(text, good + bad)]
+        for kind, a, b in places:
+            for p in filter(None, pii._patterns(text, a)):
+                name = text[a:b].lower()
+                members.setdefault(p, set()).add(name)
+                if kind:
+                    seeds.setdefault((p, kind), set()).add(name)
+                elif kind is None:
+                    others.add((p, name))
+    family = lambda p: p.split(" ")[-1]
+    of = {}
+    for p, name in others:
+        of.setdefault(name, set()).add(family(p))
+    score = {(p, k): len(s) / (len(members[p]) + 1) for (p, k), s in seeds.items()}
+    while True:
+        own = {}
+        for p, name in others:
+            for kind in KINDS:
+                key = name, kind, family(p)
+                own[key] = max(own.get(key, 0.0), score.get((p, kind), 0.0))
+        after, backed = {}, {}
+        for p in members:
+            for kind in KINDS:
+                worth = [
+                    sum(own[n, kind, f] for f in of[n] if f != family(p)) / (len(of[n]) - 1)
+                    for q, n in others
+                    if q == p and len(of[n]) > 1
+                ]
+                after[p, kind] = (len(seeds.get((p, kind), ())) + sum(worth)) / (len(members[p]) + 1)
+                backed[p, kind] = sum(w >= pii.BACKED for w in worth)
+        done = all(after[key] <= score.get(key, 0.0) + pii.LEAST_GAIN for key in after)
+        score = after
+        if done:
+            return {key: (score[key], len(seeds.get(key, ())), backed[key]) for key in score}
+
+
+def test_confidences_equal_plain_loop(documents):
+    texts = list(chained().values()) + [f"host at 10.0.0.{k} or host at box{k % 3}" for k in range(9)] + ["jump to box1 or box2"]
+    want = {
+        key: v for key, v in plain_confidences(texts).items() if v[0] >= pii.CONFIDENCE and v[1] + v[2] >= pii.LEAST_SEEDS
+    }
+    got = {(r.pattern, r.kind): (r.confidence, r.seeds, r.backed) for r in learn_patterns(documents(dict(enumerate(texts)))).collect()}
+    assert {("ping on", "email"), ("write to", "email")} <= set(got) == set(want)
+    assert all(got[key] == pytest.approx(want[key]) for key in want)
+
+
 def test_rejected_matches_are_never_added(documents):
     texts = {k: f"card no 4111 1111 1111 {1111 + 0 * k} a{k}" for k in range(3)}
     texts |= {10 + k: f"host is 10.0.{k}.1 ok" for k in range(12)} | {50: "host is 10.0.0.999 ok"}

@@ -667,6 +667,7 @@ _QUERIES["settlement_mart_as_of"] = (
 _QUERIES["settlement_mart_exclude_self"] = _QUERIES["settlement_mart"].replace("x_ledger ", "x_ledger_self ")
 _QUERIES["mart_snapshot"] = _QUERIES["consolidated_merchant_mart"]
 _QUERIES["mart_sink"] = _QUERIES["consolidated_merchant_mart"]
+_QUERIES["consolidated_mart_stored"] = _QUERIES["consolidated_merchant_mart"]
 _QUERIES["run_metrics_sink"] = _QUERIES["run_statistics"]
 
 # Reachability over shared instruments, for the account groups.

@@ -6,6 +6,7 @@ Each callable takes (spark, folder) and reads whole tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -24,6 +25,7 @@ from ..plans import billing, checkout, consolidated, merchant360, settlement, tr
 from ..session import shared_dir, written
 from ..snapshots import SnapshotTable
 from ..sources.files import read_csv, write_csv, write_mart, write_run_metrics
+from ..sources.layout import KeyedLayout
 from ..sources.sample_star import EVENT_K, EVENTS_AS_OF, ORDERS_AS_OF, PENDING, SampleStar, cents, money, scaled
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -739,6 +741,16 @@ def mart_snapshot(star: SampleStar) -> DataFrame:
     return table.read(mart.schema)
 
 
+@_register
+def consolidated_mart_stored(star: SampleStar) -> DataFrame:
+    """The consolidated mart over tables stored by shop: facts are joined and grouped where they lie."""
+    roles = ("merchants", "orders", "web_sessions", "disputes")
+    buckets = int(star.spark.conf.get("spark.sql.shuffle.partitions"))
+    layout = KeyedLayout(star.spark, _scratch(star, "layout"), f"layout_{uuid.uuid4().hex}", "shop_id", buckets)
+    layout.write(star.only(*roles))
+    return layout.per_key(lambda tables: consolidated.consolidated_merchant(tables, CONSOLIDATED), roles)
+
+
 @_register
 def run_metrics_sink(star: SampleStar) -> DataFrame:
     """Run statistics written as JSON lines to the shared folder and read back."""

@@ -88,5 +88,6 @@ def checkouts_with_code(
     wanted = _codes(gateways).filter(F.col("signal_code").contains(fragment)).select("gateway", "_key").distinct()
     responses = _responses(gateways).filter(F.col("checkout_id").isNotNull())
     if among is not None:
-        responses = responses.join(among.select("checkout_id"), "checkout_id", "left_semi")
+        # Distinct ids need none of the lookups that the table was enriched with: Spark drops their joins.
+        responses = responses.join(among.select("checkout_id").distinct(), "checkout_id", "left_semi")
     return attach(responses, wanted, ["gateway", "_key"], "left_semi").select("checkout_id").distinct()

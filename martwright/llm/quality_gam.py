@@ -224,13 +224,15 @@ def fit_rows(x: np.ndarray, label: np.ndarray) -> Model:
 def fit(table: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "quality", limit: int = SAMPLE) -> Model:
     """Train on at most ``limit`` labelled rows of :func:`features` that are not held out.
 
-    Rows are those of smallest id hash. Null labels are left out; of repeated labels for an id the largest counts.
+    Rows are those of smallest id hash. Null labels are left out; of repeated labels for an id the largest counts, and of
+    repeated documents the one whose features come first in order.
     """
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("_label")).na.drop()
     single = known.groupBy("doc_id").agg(F.max("_label").alias("_label")).filter(~held_out(F.col("doc_id")))
     picked = bounded_sample(single, F.xxhash64("doc_id"), limit)
     rows = table.select(F.col(doc_id).alias("doc_id"), *FEATURES).join(picked, "doc_id")
-    found = np.array(sorted(tuple(r) for r in rows.select("doc_id", "_label", *FEATURES).collect()), np.float64)
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("_label", *FEATURES)).alias("_row")).select("doc_id", "_row.*")
+    found = np.array(sorted(tuple(r) for r in one.collect()), np.float64)
     found = found.reshape(-1, len(FEATURES) + 2)
     return fit_rows(found[:, 2:], found[:, 1])
 

@@ -11,8 +11,10 @@ Training is on a bounded sample of labelled documents; features are made in Spar
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,8 @@ from pyspark.sql.types import BinaryType, DoubleType, StructField
 
 from .textkit import BYTE_CODE, Powers, Words, add_columns, bounded_sample, mix, slices, text_buffers, words_of
 
-#: Kinds of group names; a name is swapped for the others of its kind.
+# Kinds of group names in English, German, French and Spanish, in lower case; a name is swapped for the
+# others of its kinds.
 IDENTITY_TERMS = (
     ("women", "men"),
     ("woman", "man"),
@@ -34,7 +37,29 @@ IDENTITY_TERMS = (
     ("immigrants", "refugees", "natives", "foreigners"),
     ("deaf", "blind", "disabled"),
     ("old", "young", "elderly"),
+    ("frauen", "männer"),
+    ("mädchen", "jungen"),
+    ("christen", "muslime", "juden", "hindus", "buddhisten", "atheisten"),
+    ("schwarze", "weiße", "asiaten", "afrikaner", "europäer"),
+    ("schwule", "lesben", "bisexuelle", "heterosexuelle"),
+    ("einwanderer", "flüchtlinge", "einheimische", "ausländer"),
+    ("gehörlose", "blinde", "behinderte"),
+    ("femmes", "hommes"),
+    ("filles", "garçons"),
+    ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noirs", "blancs", "asiatiques", "africains", "européens"),
+    ("homosexuels", "lesbiennes", "bisexuels", "hétérosexuels"),
+    ("immigrés", "réfugiés", "autochtones", "étrangers"),
+    ("sourds", "aveugles", "handicapés"),
+    ("mujeres", "hombres"),
+    ("niñas", "niños"),
+    ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos"),
+    ("negros", "blancos", "asiáticos", "africanos", "europeos"),
+    ("homosexuales", "lesbianas", "bisexuales", "heterosexuales"),
+    ("inmigrantes", "refugiados", "nativos", "extranjeros"),
+    ("sordos", "ciegos", "discapacitados"),
 )
+Terms = Sequence[Sequence[str]]
 PREFIXES = (5, 6, 7, 8)
 SPACE_BITS = 20  #: hashed feature space
 #: Bounds of training: labelled documents, features kept, steps.
@@ -72,24 +97,30 @@ def _counted(doc: np.ndarray, feature: np.ndarray, width: int) -> tuple[np.ndarr
     return key // width, key % width, n
 
 
-def _sentence_swaps(text: str) -> list[tuple[list[int], list[float]]]:
-    """For each swap of a group name in each sentence: which features change, and by how much."""
-    import re
+def _others(terms: Terms) -> dict[str, list[str]]:
+    """What each name is swapped for; a name may be of several kinds."""
+    kinds: dict[str, list[str]] = {}
+    for kind in terms:
+        for name in kind:
+            others = kinds.setdefault(name, [])
+            others += [x for x in kind if x != name and x not in others]
+    return kinds
+
 
-    kinds = {name: kind for kind in IDENTITY_TERMS for name in kind}
+def _sentence_swaps(text: str, terms: Terms = IDENTITY_TERMS) -> list[tuple[list[int], list[float]]]:
+    """For each swap of a group name in each sentence: which features change, and by how much."""
+    others = _others(terms)
     out = []
     for sentence in re.split(r"[.!?\n]+", text.lower()):
-        names = {w for w in re.findall(r"[a-z]+", sentence) if w in kinds}
-        for name in sorted(names):
-            for other in kinds[name]:
-                if other != name:
-                    features, n = np.unique(np.concatenate([_features_of(name), _features_of(other)]), return_counts=True)
-                    sign = np.where(np.isin(features, _features_of(other)), 1.0, -1.0) * (n == 1) * np.log(2)
-                    out.append((features[n == 1].tolist(), sign[n == 1].tolist()))
+        for name in sorted(set(re.findall(r"[^\W_]+", sentence)) & others.keys()):
+            for other in others[name]:
+                features, n = np.unique(np.concatenate([_features_of(name), _features_of(other)]), return_counts=True)
+                sign = np.where(np.isin(features, _features_of(other)), 1.0, -1.0) * (n == 1) * np.log(2)
+                out.append((features[n == 1].tolist(), sign[n == 1].tolist()))
     return out
 
 
-def _training_rows(column: pa.Array) -> dict[str, pa.Array]:
+def _training_rows(column: pa.Array, terms: Terms = IDENTITY_TERMS) -> dict[str, pa.Array]:
     data, offsets, nulls = text_buffers(column)
     made: dict[str, list[bytes]] = {"features": [], "weights": [], "swaps": [], "changes": []}
     for i, j in slices(offsets):
@@ -101,7 +132,7 @@ def _training_rows(column: pa.Array) -> dict[str, pa.Array]:
         for d in range(j - i):
             low, high = edges[d], edges[d + 1]
             text = "" if nulls[i + d] else data[offsets[i + d] : offsets[i + d + 1]].tobytes().decode()
-            pairs = sorted({(tuple(f), tuple(c)) for f, c in _sentence_swaps(text)})
+            pairs = sorted({(tuple(f), tuple(c)) for f, c in _sentence_swaps(text, terms)})
             # Swaps are laid end to end; -1 ends each.
             made["features"].append(feature[low:high].astype("<i4").tobytes())
             made["weights"].append(weight[low:high].astype("<f4").tobytes())
@@ -137,7 +168,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total + self.bias, -40, 40)))
 
 
-def fit_rows(rows: Sequence[tuple], fairness: float = FAIRNESS, seed: int = 1) -> Model:
+def fit_rows(rows: Sequence[tuple], fairness: float = FAIRNESS, seed: int = 1, terms: Terms = IDENTITY_TERMS) -> Model:
     """``rows``: (label, features, weights, swaps, changes) as arrays. Without two classes, scores are the share of ones."""
     slot = np.full(1 << SPACE_BITS, -1, np.int32)
     label = np.array([r[0] for r in rows], np.float64)
@@ -159,7 +190,7 @@ def fit_rows(rows: Sequence[tuple], fairness: float = FAIRNESS, seed: int = 1) -
     telling = np.where(n >= LEAST_DOCS, np.abs(up - down) / (spread + 0.02), 0)
     chosen = np.argsort(-telling, kind="stable")[:FEATURES]
     chosen = chosen[telling[chosen] > 0]
-    names = np.unique(np.concatenate([_features_of(w) for kind in IDENTITY_TERMS for w in kind]))
+    names = np.unique(np.concatenate([_features_of(w) for kind in terms for w in kind] or [np.empty(0, np.int64)]))
     chosen = np.unique(np.concatenate([chosen, names]))
     slot[chosen] = np.arange(len(chosen))
     keep = slot[column] >= 0
@@ -207,15 +238,22 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, doc_id: str
     return docs.join(picked, docs[doc_id] == picked["doc_id"], "inner").drop(picked["doc_id"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", limit: int = SAMPLE) -> Model:
-    """Train on at most ``limit`` labelled documents that are not held out."""
+def fit(
+    docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", limit: int = SAMPLE,
+    terms: Terms = IDENTITY_TERMS,
+) -> Model:
+    """Train on at most ``limit`` labelled documents that are not held out; ``terms`` are the kinds of names to swap.
+
+    An id that stands in several rows counts once, with the row whose features come first in order.
+    """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     fields = [StructField(name, BinaryType()) for name in ("features", "weights", "swaps", "changes")]
     sample = training_sample(plain, labels, label, limit=limit)
-    made = add_columns(sample, "text", fields, _training_rows, ["doc_id", "label"])
+    made = add_columns(sample, "text", fields, partial(_training_rows, terms=terms), ["doc_id", "label"])
+    one = made.groupBy("doc_id").agg(F.min(F.struct("label", *(f.name for f in fields))).alias("row")).select("doc_id", "row.*")
     plain = lambda v: bytes(v) if isinstance(v, bytearray) else v
-    rows = sorted(tuple(plain(v) for v in r) for r in made.toLocalIterator())
-    return fit_rows([unpack(*r[1:]) for r in rows])
+    rows = sorted(tuple(plain(v) for v in r) for r in one.toLocalIterator())
+    return fit_rows([unpack(*r[1:]) for r in rows], terms=terms)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:

@@ -172,7 +172,25 @@ def test_each_swap_is_the_change_of_the_sentences_score():
     assert [sum(weight[f] * c for f, c in zip(*s, strict=True)) for s in swaps] == pytest.approx(changes)
 
 
-def test_toxicity_fit_is_at_the_least_of_its_loss():
+def test_names_of_four_languages_and_of_ones_own():
+    for text, swaps in (("Die Frauen und MÄNNER", 2), ("les Juifs", 5), ("los niños", 1), ("all hindus", 10), ("none", 0)):
+        assert len(toxicity._sentence_swaps(text)) == swaps, text
+    assert len(toxicity._sentence_swaps("red robots and women", [("robots", "androids", "cyborgs")])) == 2
+
+
+def test_a_document_in_many_rows_counts_once(spark):
+    given = [(k, "idiots all of you" if k % 4 == 0 else "a garden full of music") for k in range(60)]
+    labels = spark.createDataFrame([(k, int(k % 4 == 0), int(k % 4 != 0)) for k, _ in given], "doc_id long, toxic int, quality int")
+    once = spark.createDataFrame(given, "doc_id long, text string")
+    often = once.unionByName(once.filter("doc_id = 8").crossJoin(spark.range(300)).drop("id"))
+    a, b = (toxicity.fit(docs, labels) for docs in (once, often))
+    assert a.bias == b.bias and np.array_equal(a.weight, b.weight)
+    a, b = (quality_gam.fit(quality_gam.features(docs, keep=["doc_id"]), labels) for docs in (once, often))
+    assert a.bias == b.bias and all(np.array_equal(x, y) for x, y in zip(a.tables, b.tables, strict=True))
+
+
+def test_toxicity_fit_goes_to_the_least_of_its_loss(monkeypatch):
+    """The usual 250 steps come near it; with more, no direction leads lower."""
     rng = random.Random(3)
     given, label = [], []
     for k in range(120):
@@ -182,6 +200,8 @@ def test_toxicity_fit_is_at_the_least_of_its_loss():
         label.append(int(bad))
     made = toxicity._training_rows(pa.array(given, pa.string()))
     rows = [toxicity.unpack(y, *(made[c][i].as_py() for c in ("features", "weights", "swaps", "changes"))) for i, y in enumerate(label)]
+    usual = toxicity.fit_rows(rows)
+    monkeypatch.setattr(toxicity, "STEPS", 4000)
     model = toxicity.fit_rows(rows)
     share = sum(label) / len(label)
     importance = [math.sqrt((1 - share) / share) if y else 1.0 for y in label]
@@ -201,7 +221,8 @@ def test_toxicity_fit_is_at_the_least_of_its_loss():
         return total / sum(importance) + toxicity.RIDGE / 2 * sum(w * w for w in weight) + penalty
 
     least, g = loss(model.weight, model.bias), np.random.default_rng(2)
-    assert least < loss(np.zeros(len(model.weight)), 0.0) / 2
+    start = loss(np.zeros(len(model.weight)), 0.0)
+    assert least <= loss(usual.weight, usual.bias) < least + 0.01 * (start - least)
     for _ in range(12):
         way = g.standard_normal(len(model.weight) + 1)
         way /= np.linalg.norm(way)
